@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactmill.llm import ngram_join
+from contactmill.llm import decontaminate, ngram_join
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -37,5 +37,41 @@ SELECT d.doc_id, coalesce(max(n.c), 0)::BIGINT AS n_shingles, min(r.y) AS compon
 FROM documents d JOIN r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
-QUERIES = {"op3_ngram_jaccard_join": op3_ngram_jaccard_join}
-SQL = {"op3_ngram_jaccard_join": OP3_SQL}
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        _read(spark, sf_dir, "documents", "doc_id", "text"), _read(spark, sf_dir, "benchmark", "item_id", "text")
+    )
+
+
+_ALNUM_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP5_SQL = f"""
+WITH b AS (SELECT item_id, {_ALNUM_WORDS} AS ws FROM benchmark
+), p AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS m, unnest(list_transform(range(1, len(ws) - least(len(ws), 10) + 2),
+    lambda i: array_to_string(ws[i:i + least(len(ws), 10) - 1], ' '))) AS g FROM b WHERE len(ws) > 0
+), d AS (SELECT doc_id, {_ALNUM_WORDS} AS ws FROM documents
+), m AS (SELECT DISTINCT m FROM p
+), w AS (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM d, m WHERE len(ws) >= m
+), h AS (
+  SELECT w.doc_id, p.item_id, w.i, w.m FROM (SELECT doc_id, m, i, array_to_string(ws[i:i + m - 1], ' ') AS g FROM w) w
+  JOIN p ON p.g = w.g AND p.m = w.m
+), n AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS pos FROM h) GROUP BY 1
+), t AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY 1
+)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(t.items, '')) AS items_sha256, coalesce(n.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+QUERIES = {
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+}
+SQL = {
+    "op3_ngram_jaccard_join": OP3_SQL,
+    "op5_benchmark_decontamination": OP5_SQL,
+}
