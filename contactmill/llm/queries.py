@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactmill.llm import decontaminate, ngram_join
+from contactmill.llm import decontaminate, fingerprints, ngram_join, shards, url_filter
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -67,11 +67,58 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_hit
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
 """
 
+
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
+    return url_filter.judge(_read(spark, sf_dir, "pages", "page_id", "url"), rules).drop("url")
+
+
+_RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_filter.RULES)
+
+OP6_SQL = f"""
+WITH u AS (
+  SELECT page_id, regexp_extract(coalesce(CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END, ''),
+    '^[^?#]*') AS rest FROM pages
+), h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/]*'), {_AZ}) AS host,
+    substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path FROM u
+), r(rh, rp, verdict) AS (VALUES {_RULE_VALUES}
+), f AS (
+  SELECT h.*, rh || rp AS rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC NULLS LAST,
+    length(rh) DESC, verdict DESC) AS k
+  FROM h LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f WHERE k = 1
+"""
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shuffled = shards.external_shuffle(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return shuffled.select(
+        "doc_id",
+        (F.octet_length(text) + shards.ROW_BYTES).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        F.lit(shards.LAW).alias("law"),
+        "shard",
+        "slot",
+        "grown_shard",
+    )
+
+
 QUERIES = {
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_url_filters": op6_url_filters,
+    "op8_sharding": op8_sharding,
 }
 SQL = {
     "op3_ngram_jaccard_join": OP3_SQL,
     "op5_benchmark_decontamination": OP5_SQL,
+    "op6_url_filters": OP6_SQL,
 }
