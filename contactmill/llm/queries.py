@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactmill.llm import decontaminate, fingerprints, ngram_join, shards, url_filter
+from contactmill.llm import decontaminate, fingerprints, ngram_join, packing, shards, url_filter, warc
+from contactmill.session import scratch_path
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -68,6 +69,35 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
 """
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages", "page_id", "url", "html")
+    archives = warc.write_archives(pages, scratch_path(spark, "warc"))
+    records = warc.read_archives(spark, archives)
+    revisit = F.col("kind") == "revisit"
+    return records.select(
+        _page_of("record_id").alias("page_id"),
+        F.when(revisit, F.col("length")).otherwise(F.octet_length("payload")).cast("long").alias("payload_bytes"),
+        F.when(revisit, F.substring_index("digest", ":", -1)).otherwise(F.sha2("payload", 256)).alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        _page_of("refers_to").alias("refers_to"),
+    )
+
+
+def _page_of(record_id: str):
+    return F.regexp_extract(record_id, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+), d AS (SELECT page_id, octet_length(b)::BIGINT AS n, sha256(b) AS h FROM p
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -96,6 +126,11 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f W
 """
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    return packed.select("doc_id", "n_tokens", "bucket", "boundary", "batch", "slot")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffled = shards.external_shuffle(_read(spark, sf_dir, "documents", "doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
@@ -111,13 +146,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_url_filters": op6_url_filters,
+    "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
 }
 SQL = {
+    "op1_warc": OP1_SQL,
     "op3_ngram_jaccard_join": OP3_SQL,
     "op5_benchmark_decontamination": OP5_SQL,
     "op6_url_filters": OP6_SQL,
