@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactmill.llm import decontaminate, fingerprints, ngram_join, packing, shards, url_filter, warc
+from contactmill.llm import decontaminate, fingerprints, html_extract, ngram_join, packing, shards, url_filter, warc
 from contactmill.session import scratch_path
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -39,6 +39,11 @@ FROM documents d JOIN r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GRO
 """
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(_read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         _read(spark, sf_dir, "documents", "doc_id", "text"), _read(spark, sf_dir, "benchmark", "item_id", "text")
@@ -149,6 +154,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_html_extraction": op4_html_extraction,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_url_filters": op6_url_filters,
     "op7_packing": op7_packing,
