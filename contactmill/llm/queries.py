@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactmill.llm import decontaminate, fingerprints, html_extract, ngram_join, packing, shards, url_filter, warc
+from contactmill.llm import decontaminate, fingerprints, html_extract, ngram_join, packing, shards, toxicity, url_filter, warc
 from contactmill.session import scratch_path
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -150,6 +150,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    chain = toxicity.train(docs, _read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.predict(docs, chain).drop("text")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -159,6 +165,7 @@ QUERIES = {
     "op6_url_filters": op6_url_filters,
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
+    "op9_toxicity": op9_toxicity,
 }
 SQL = {
     "op1_warc": OP1_SQL,

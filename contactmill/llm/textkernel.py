@@ -95,16 +95,21 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
 
 @dataclass
 class Words:
-    """start, end: byte positions in buf; hash: 64 bits; offsets: of each document's words."""
+    """start, end: byte positions in buf; hash: 64 bits; offsets: of each document's words; sums:
+    of the polynomial, from which any part of a word has its hash."""
 
     buf: np.ndarray
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
     offsets: np.ndarray
+    sums: np.ndarray
 
-    def doc(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
+    def heads(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(words of at least size bytes, hashes of their first size bytes)."""
+        long_ = np.flatnonzero(self.end - self.start >= size)
+        start = self.start[long_]
+        return long_, mix((self.sums[start + size] - self.sums[start]) * _powers(_room(len(self.sums)))[1][start])
 
 
 def words(buf: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Words:
@@ -114,7 +119,7 @@ def words(buf: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Words:
     n = len(part)
     if n == 0:
         none = np.zeros(0, np.int64)
-        return Words(part, none, none, np.zeros(0, U64), np.zeros(len(offsets), np.int64))
+        return Words(part, none, none, np.zeros(0, U64), np.zeros(len(offsets), np.int64), np.zeros(1, U64))
     inside = alphabet.word[part]
     border = np.zeros(n + 1, bool)
     border[local] = True
@@ -131,7 +136,7 @@ def words(buf: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Words:
     sums[0] = 0
     np.cumsum(alphabet.value[part] * up[:n], out=sums[1:])
     hashes = mix((sums[end] - sums[start]) * down[start])
-    return Words(part, start, end, hashes, np.searchsorted(start, local).astype(np.int64))
+    return Words(part, start, end, hashes, np.searchsorted(start, local).astype(np.int64), sums)
 
 
 def shingle_hashes(w: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
