@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactmill.llm import decontaminate, fingerprints, html_extract, ngram_join, packing, shards, toxicity, url_filter, warc
+from contactmill.llm import decontaminate, fingerprints, html_extract, ngram_join, packing, pii, shards, toxicity, url_filter, warc
 from contactmill.session import scratch_path
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -156,6 +156,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, chain).drop("text")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -166,6 +170,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
+    "op10_pii": op10_pii,
 }
 SQL = {
     "op1_warc": OP1_SQL,
