@@ -16,7 +16,7 @@ from contactmill.session import broadcast_if_small
 BUDGET = 16_384
 BUCKETS = 8
 #: Documents that one task numbers at once.
-NUMBERED = 100_000
+NUMBERED = 20_000
 SEED = 7
 
 
