@@ -177,7 +177,7 @@ def thousands(number: Column) -> Column:
 
 def casefold(text: Column) -> Column:
     # the empty string keeps the optimiser from taking lower(upper(x)) for lower(x)
-    return F.lower(F.concat(F.upper(text), F.lit("")))
+    return F.lower(F.concat(F.upper(F.replace(text, F.lit("ẞ"), F.lit("SS"))), F.lit("")))
 
 
 def quoted(value: Column) -> Column:
