@@ -137,7 +137,7 @@ class Chain:
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> Linear:
     """Logistic regression with a ridge on all weights but the bias, by Newton steps."""
     n, width = x.shape
-    rate = (y.sum() + 0.5) / (n + 1)
+    rate = (y.sum() + 0.5) / (n + 2)
     w = np.append(np.zeros(width), np.log(rate / (1 - rate)))
     if 0 < y.sum() < n:
         full = np.column_stack([x, np.ones(n)])
@@ -293,7 +293,8 @@ def train(
     At most about `sample` rows are used, chosen by a hash of the id. Rows with a null id or label
     are left out; a null text has no words. An id with several labels or texts counts each time,
     but of rows that are near copies only the first. Without any labelled row, or with labels of
-    one kind, the chain has no features and its probabilities are the smoothed share of toxic rows.
+    one kind, the chain has no features and its probabilities are the smoothed share of toxic rows
+    (a quarter without labels, so that nothing is called toxic).
     """
     spark = docs.sparkSession
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
