@@ -12,6 +12,7 @@ import base64
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,10 @@ from contactmill.session import broadcast_if_small, shuffle_partitions
 U64 = np.uint64
 SIZE = 256
 SHINGLE = 5
+#: Text that one range of ids is meant to hold; with more than MOST_RANGES of them ranges get
+#: larger instead. A range is sorted by Spark, which spills, and read in slices.
+RANGE_BYTES = 64 << 20
+MOST_RANGES = 20_000
 _LOWEST = -(2**63)
 
 
@@ -152,12 +157,16 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     ranked = source.withColumn("rank", F.coalesce("id", F.lit(_LOWEST)))
-    parts = shuffle_partitions(spark)
+    total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = min(MOST_RANGES, max(shuffle_partitions(spark), -(-total // RANGE_BYTES)))
     cuts = ranked.approxQuantile("rank", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    cuts = sorted({int(c) for c in cuts})
-    table = spark.createDataFrame([(cuts,)], "cuts array<long>")
-    below = F.size(F.filter("cuts", lambda c: c > F.col("rank")))
-    ranked = ranked.crossJoin(F.broadcast(table)).select("id", "text", "rank", below.alias("part"))
+    cuts = np.unique(np.array(cuts, float).astype(np.int64))
+
+    @F.pandas_udf("int")
+    def range_of(rank: pd.Series) -> pd.Series:
+        return pd.Series(len(cuts) - np.searchsorted(cuts, rank.to_numpy(), side="right")).astype("int32")
+
+    ranked = ranked.withColumn("part", range_of("rank"))
 
     first = ranked.groupBy("part").agg(F.max("rank").alias("rank"))
     around = Window.orderBy("part")  # one row for each range
