@@ -8,7 +8,7 @@ from html import escape
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Labels of reasons and flags.
+# Labels of reasons and flags, and below the German lines of report and page.
 REASON_LABELS = {
     "internal": "Interne Adressen",
     "test_entry": "Testeinträge",
