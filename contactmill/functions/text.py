@@ -175,6 +175,23 @@ def thousands(number: Column) -> Column:
     return F.replace(F.format_number(number, 0), F.lit(","), F.lit("."))
 
 
+def slug(text: Column) -> Column:
+    """ASCII letters and digits in lower case, German letters spelled out, other accents dropped."""
+    value = F.lower(F.coalesce(text, F.lit("")))
+    for letter, spelled in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("ß", "ss")):
+        value = F.replace(value, F.lit(letter), F.lit(spelled))
+    single, base, _ = _base_letters()
+    return _strip(F.translate(value, single + "¹²³", base + "123"), "[^a-z0-9]")
+
+
+def escape_html(text: Column) -> Column:
+    """Text that is safe in HTML, also within quotes."""
+    value = F.coalesce(text, F.lit(""))
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        value = F.replace(value, F.lit(mark), F.lit(name))
+    return value
+
+
 def casefold(text: Column) -> Column:
     # the empty string keeps the optimiser from taking lower(upper(x)) for lower(x)
     return F.lower(F.concat(F.upper(F.replace(text, F.lit("ẞ"), F.lit("SS"))), F.lit("")))

@@ -312,6 +312,24 @@ def thousands_format(spark, sf_dir):
     return rows.select("n", T.thousands(F.col("n")).alias("shown"))
 
 
+def _s_slug(x: str) -> str:
+    spelled = f"replace(replace(replace(replace(lower({x}), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss')"
+    return f"regexp_replace(strip_accents({spelled}), '[^a-z0-9]', '', 'g')"
+
+
+@query(f"SELECT k, {_s_slug('raw_name')} AS slug FROM ({C.contacts_sql()})")
+def slug_names(spark, sf_dir):
+    return C.contacts(spark, sf_dir).select("k", T.slug(F.col("raw_name")).alias("slug"))
+
+
+_MARKS = "replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+@query(f"SELECT page_id, replace(replace({_MARKS}, chr(34), '&quot;'), chr(39), '&#x27;') AS escaped FROM pages")
+def escape_pages(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", T.escape_html(F.col("html")).alias("escaped"))
+
+
 # ------------------------------------------------------------------- records
 
 

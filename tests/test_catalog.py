@@ -8,7 +8,7 @@ from contactmill.plans import catalog
 
 CHECKED = (
     "clean_text_docs name_case iso_dates email_norm_contacts phone_norm_formats pct_half_even source_union_map uid_dedup "
-    "exclusion_reasons suspect_flags clean_rows check_unique"
+    "exclusion_reasons suspect_flags clean_rows check_unique slug_names escape_pages"
 ).split()
 
 

@@ -1,3 +1,4 @@
+import html
 import random
 import re
 import unicodedata
@@ -95,3 +96,11 @@ def test_quoting_and_folding(spark):
 def test_thousands(spark):
     rows = spark.createDataFrame([(1,), (1326,), (12345678,)], "n long").select(T.thousands(F.col("n")).alias("x")).collect()
     assert [r["x"] for r in rows] == ["1", "1.326", "12.345.678"]
+
+
+def test_slug_and_escape(spark):
+    values = {"Jürgen Groß": "juergengross", "Zoë-Ähm 2²": "zoeaehm22", "": "", "李": ""}
+    got = table(spark, values, x=T.slug(F.col("v")))
+    assert {v: r["x"] for v, r in got.items()} == values
+    odd = "a<b> & \"c\" 'd' &amp;"
+    assert table(spark, [odd], x=T.escape_html(F.col("v")))[odd]["x"] == html.escape(odd)
