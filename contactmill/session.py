@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only when it is known to have no more bytes than this.
 BROADCAST_BYTES = 24 << 20
+#: Bytes of a batch of rows that goes to a Python worker.
+BATCH_BYTES = 8 << 20
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -53,6 +55,14 @@ def discard(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def bounded_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """Let batches of texts that go to Python hold at most `limit` bytes, unless the session says
+    otherwise: the JVM's buffers and the workers' copies of a batch then stay small together."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "1") == "1":  # what get() answers where the key is unset
+        spark.conf.set(key, str(limit))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
