@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contactmill.llm import textkernel as K
+from contactmill.session import bounded_batches
 
 U64 = np.uint64
 WINDOW = 10
@@ -221,6 +222,7 @@ def find_passages(
     are ignored. An empty benchmark leaves every document without spans.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     schema = _HITS.format(kind=kind)
@@ -305,6 +307,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     A null id or text never matches a passage by itself: the text alone decides, row by row.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     items = benchmark.select(F.col("item_id").alias("item"), F.col("text"))
     passes = [spark.sparkContext.broadcast(build_tables(t)) for t in _table_sets(items, TABLE_BYTES)]
     at = docs.columns.index(text_col)

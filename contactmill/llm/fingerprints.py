@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactmill.llm import textkernel as K
-from contactmill.session import broadcast_if_small, shuffle_partitions
+from contactmill.session import bounded_batches, broadcast_if_small, shuffle_partitions
 
 U64 = np.uint64
 SIZE = 256
@@ -86,6 +86,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null and empty texts and those without words get the empty sketch. Repeated rows are sketched
     each for itself, with equal results. A null id stays null. Extra columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
 
@@ -155,6 +156,7 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     row is its own next one. Extra columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     ranked = source.withColumn("rank", F.coalesce("id", F.lit(_LOWEST)))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contactmill.session import bounded_batches
+
 # Names of HTML elements by their role in the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title template noscript iframe xmp noembed noframes svg math".split())
@@ -472,6 +474,7 @@ def extract(
     has no text. A page without any tags is one block of text. Repeated rows are kept. A column of
     pages called text_col is replaced. An empty table gives an empty result.
     """
+    bounded_batches(pages.sparkSession)
     model = model or default_model()
     shared = pages.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in pages.columns if c not in (html_col, text_col)]

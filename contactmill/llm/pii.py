@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contactmill.session import broadcast_if_small, discard, materialise
+from contactmill.session import bounded_batches, broadcast_if_small, discard, materialise
 
 KEY = b"contactmill surrogate key"
 MAX_ATTEMPTS = 40
@@ -321,6 +321,7 @@ def pseudonymise(
     get equal results. Columns of docs with the added names are replaced. An empty table gives an
     empty result. The key decides the surrogates; without it they tell nothing of the originals.
     """
+    bounded_batches(docs.sparkSession)
     added = ("n_entities", "entity_types")
     docs = docs.select(*[c for c in docs.columns if c not in added])
     changed = clashes(entities(docs, text_col, types), key)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from contactmill.llm.textkernel import mix
-from contactmill.session import broadcast_if_small
+from contactmill.session import bounded_batches, broadcast_if_small
 
 U64 = np.uint64
 SHARDS = 40
@@ -112,6 +112,7 @@ def external_shuffle(
     that are repeated keep their number. Columns of docs called shard, grown_shard, slot, bucket or
     place are replaced. An empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.drop("shard", "grown_shard", "slot", "bucket", "place")
     sized = docs.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + ROW_BYTES).alias("b")).first()["b"] or 0
     buckets = max(1, -(-sized // (shards * bucket_bytes)))

@@ -16,7 +16,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+#: Rows of a chunk.
+CHUNK_ROWS = 65_000
 U64 = np.uint64
 _ODD = 0x9E3779B97F4A7C15
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
@@ -64,7 +66,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _room(n: int) -> int:
-    return max(CHUNK_BYTES * 2, 1 << (max(n, 1) - 1).bit_length())
+    return CHUNK_BYTES + 1 if n <= CHUNK_BYTES + 1 else 1 << (n - 1).bit_length()
 
 
 def string_buffer(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -83,12 +85,13 @@ def string_buffer(texts) -> tuple[np.ndarray, np.ndarray]:
     return bytes_, offsets
 
 
-def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges whose texts have at most limit bytes together, or a single row."""
+def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES, rows: int = CHUNK_ROWS) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most `rows` rows whose texts have at most limit bytes together, or of a
+    single row."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1
-        hi = min(max(hi, lo + 1), n, lo + 65_000)
+        hi = min(max(hi, lo + 1), n, lo + rows)
         yield lo, hi
         lo = hi
 

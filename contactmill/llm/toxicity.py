@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contactmill.llm import textkernel as K
-from contactmill.session import discard, materialise
+from contactmill.session import bounded_batches, discard, materialise
 
 U64 = np.uint64
 #: Labelled rows that the chain is fitted on, at most.
@@ -52,7 +52,7 @@ def _words(texts) -> Iterator[tuple[int, int, K.Words]]:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     buf, offsets = K.string_buffer(pc.utf8_lower(texts))
-    for lo, hi in K.chunks(offsets):
+    for lo, hi in K.chunks(offsets, rows=2_000):
         yield lo, hi, K.words(buf, offsets[lo : hi + 1], K.ALNUM)
 
 
@@ -297,6 +297,7 @@ def train(
     (a quarter without labels, so that nothing is called toxic).
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.where("id is not null and label is not null")
     total = known.count()
@@ -357,6 +358,7 @@ def predict(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: fl
     get equal results. Columns of docs with the added names are replaced. An empty table gives an
     empty result.
     """
+    bounded_batches(docs.sparkSession)
     added = [f"p_{c}" for c in chain.categories] + ["is_toxic"]
     docs = docs.select(*[c for c in docs.columns if c not in added])
     names = [*docs.columns, *added]
