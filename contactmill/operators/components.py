@@ -99,7 +99,9 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
     ids are first contracted within their tasks, which saves rounds.
     """
     spark = edges.sparkSession
-    whole, source = materialise(edges.select("u", "v").where("u is not null and v is not null"), "edges")
+    # tasks find the same edges again and again; their number must not grow with that of tasks
+    whole = edges.select("u", "v").where("u is not null and v is not null").distinct()
+    whole, source = materialise(whole, "edges")
     current = whole.where("u <> v")
     if [kind for _, kind in whole.dtypes] == ["bigint", "bigint"]:
         current = current.mapInArrow(_contract, "u long, v long")
