@@ -52,7 +52,8 @@ _PATTERNS = {
     "secret": re.compile(CREDENTIALS + r"""["']?\s*[:=]\s*["']?(?P<v>[A-Za-z0-9_\-+/]{16,}={0,2})""", re.I),
     "email": re.compile(r"(?P<v>[A-Za-z0-9_%+'-]+(?:\.[A-Za-z0-9_%+'-]+)*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})"),
     "ip": re.compile(rf"(?<![\d.])(?P<v>(?:{_OCTET}\.){{3}}{_OCTET})(?!\d|\.\d)"),
-    "card": re.compile(r"(?<!\d)(?P<v>\d(?:[ -]?\d){12,18})(?!\d)"),
+    # all numbers that single blanks or hyphens join; _cards looks for cards among them
+    "card": re.compile(r"(?<!\d)(?P<v>\d(?:[ -]?\d){12,})"),
     "ssn": re.compile(r"(?<![\d-])(?P<v>(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4})(?![\d-])"),
     "phone": re.compile(
         r"(?<![\w+])(?P<v>\+\d{1,3}(?:[ .\-/]?\(?\d{1,5}\)?){2,6}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
@@ -64,6 +65,7 @@ _PATTERNS = {
 }
 TYPES = tuple(_PATTERNS)
 _DIGITS = re.compile(r"[0-9@]")
+_LAST_NUMBER = re.compile(r"[ .\-/(]*\d+\)?$")
 _QUICK_SECRET = re.compile(r"[:=]\s*[\"']?[A-Za-z0-9_\-+/]{16}")
 # no look-behind: a pattern that starts with letters is searched for by its possible first letters
 _QUICK_NAME = re.compile(f"(?:{'|'.join([*_TITLE_GENDER, *' '.join(GIVEN.values()).split()])})(?!\\w)")
@@ -99,20 +101,24 @@ def find(text: str, types: tuple[str, ...] = TYPES) -> list[Entity]:
     for kind in TYPES:
         if kind not in types or not (names if kind == "name" else secret if kind == "secret" else numbers):
             continue
-        for m in _PATTERNS[kind].finditer(text):
+        # what lies between entities is searched by itself, so none hides what stands beside it
+        free = _gaps(taken, len(text))
+        for m in (m for a, b in free for m in _PATTERNS[kind].finditer(text, a, b)):
             start, stop = m.span("v")
             value = m.group("v")
-            if any(start < b and a < stop for a, b in taken):
-                continue
             if kind == "card":
+                cards = list(_cards(value, start))
+                found += cards
+                taken += [(e.start, e.stop) for e in cards]
+                continue
+            if kind == "phone":
                 digits = re.sub(r"\D", "", value)
-                if not (_ISSUERS.fullmatch(digits) and luhn(digits)):
-                    continue
-                found.append(Entity(start, stop, kind, digits))
-            elif kind == "phone":
-                digits = re.sub(r"\D", "", value)
-                if not 8 <= len(digits) <= 15:
+                while len(digits) > 15:  # numbers after it are left off
+                    value = value[: _LAST_NUMBER.search(value).start()]
+                    digits = re.sub(r"\D", "", value)
+                if len(digits) < 8:
                     continue
+                stop = start + len(value)
                 found.append(Entity(start, stop, kind, ("+" if value[0] == "+" else "") + digits))
             elif kind == "name":
                 found += _name_parts(value, start, m.group("title"))
@@ -127,6 +133,30 @@ def find(text: str, types: tuple[str, ...] = TYPES) -> list[Entity]:
     return sorted(found, key=lambda e: e.start)
 
 
+def _gaps(taken: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+    """The parts of 0..size that no span covers."""
+    spans = sorted(taken)
+    return [(a, b) for a, b in zip([0, *(b for _, b in spans)], [*(a for a, _ in spans), size]) if a < b]
+
+
+def _cards(value: str, start: int) -> Iterator[Entity]:
+    """Cards in a row of numbers: from each number on, the most numbers that are a card together."""
+    runs = [m.span() for m in re.finditer(r"\d+", value)]
+    i = 0
+    while i < len(runs):
+        digits, card = "", None
+        for j in range(i, len(runs)):
+            digits += value[slice(*runs[j])]
+            if len(digits) > 19:
+                break
+            if len(digits) >= 13 and _ISSUERS.fullmatch(digits) and luhn(digits):
+                card = j, digits
+        if card:
+            yield Entity(start + runs[i][0], start + runs[card[0]][1], "card", card[1])
+            i = card[0]
+        i += 1
+
+
 def _name_parts(value: str, start: int, title: str | None) -> Iterator[Entity]:
     """Each word of a name is an entity: the last is the surname, those before it given names."""
     words = list(re.finditer(r"\S+", value))

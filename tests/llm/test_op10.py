@@ -89,3 +89,20 @@ def test_entities_drawn_again(spark, monkeypatch):
     first, again = pii.surrogate("ip", "1.2.3.4"), pii.surrogate("ip", "5.6.7.8", 3)
     want = [(1, None), (2, "none"), (3, f"a {first} b {again}"), (3, f"a {first} b {again}"), (4, f"x {again}")]
     assert sorted((r["doc_id"], r["text"]) for r in pii.pseudonymise(df).collect()) == sorted(want, key=lambda r: r[0])
+
+
+@pytest.mark.parametrize("text, kinds", [
+    ("137.187.58.226 4845168114407329", ["ip", "card"]),
+    ("order 12 4845 1681 1440 7329", ["card"]),
+    ("room 7-4845-1681-1440-7329 12", ["card"]),
+    ("4845168114407329 226 and 4845168114407329 4111111111111111", ["card", "card", "card"]),
+    ("4845 1681 1440 7329 4111 1111 1111 1111 4845-1681-1440-7329", ["card", "card", "card"]),
+    ("+1 (743) 555-3220 137.187.58.226", ["phone", "ip"]),
+    ("+1 (743) 555-3220 4845168114407329", ["phone", "card"]),
+    ("+1 (743) 555-3220 12345 678", ["phone"]),
+    ("1234 9999888877776666 12", []),
+])
+def test_neighbours_do_not_hide_entities(text, kinds):
+    found = pii.find(text)
+    assert [e.type for e in found] == kinds
+    assert {e.canonical for e in found if e.type == "card"} <= {"4845168114407329", "4111111111111111"}
