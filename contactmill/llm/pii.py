@@ -1,8 +1,9 @@
 """PII: personal data and credentials are replaced by keyed, type-consistent surrogates.
 
 Found are e-mail addresses, telephone numbers, IPv4 addresses, payment card numbers (by issuer
-prefix and check digit), social security numbers, credentials after a telling name, and personal
-names after a form of address or a known given name.
+prefix and check digit), social security numbers, credentials after a telling name (any value after
+password, passwd or pwd; after other names 16 letters, digits or _-+/, or 8 with a digit), and
+personal names after a form of address or a known given name.
 
 A surrogate is drawn from a keyed hash of the entity's type and canonical form, so one entity has
 one surrogate in every document, without any coordination. It keeps format: letters stay letters of
@@ -42,14 +43,21 @@ ADDRESS = {
     "f": "Mrs Ms Miss Frau Señora Señorita Madame Mme Mademoiselle",
     "": "Dr Prof",
 }
-CREDENTIALS = r"(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|auth[_-]?token|token|passwd|password|pwd)"
+CREDENTIALS = r"(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|auth[_-]?token|token|(?P<own>passwd|password|pwd))"
 
 _GENDER = {n.lower(): g for g, names in GIVEN.items() for n in names.split()}
 _TITLE_GENDER = {n: g for g, names in ADDRESS.items() for n in names.split()}
 _NAME = r"[A-ZÀ-ÖØ-ÞА-Я][\w’'-]*[a-zß-öø-ÿа-я][\w’'-]*|[A-ZÀ-ÖØ-ÞА-Я]{2,}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _PATTERNS = {
-    "secret": re.compile(CREDENTIALS + r"""["']?\s*[:=]\s*["']?(?P<v>[A-Za-z0-9_\-+/]{16,}={0,2})""", re.I),
+    # a password is all between quotes, or else up to white space or closing marks (on the next line only
+    # with a quote or a digit); the value of other names has 16 characters, or 8 with a digit
+    "secret": re.compile(
+        CREDENTIALS + r"""["']?\s*[:=](?(own)(?:[^\S\n]*|\s*(?=["']|\S*\d))|\s*)(?P<q>["'])?(?P<v>(?(own)"""
+        r"""(?:(?(q)(?:\\.|(?!(?P=q))[^\\\n])++(?=(?P=q))|(?!))|[^\s"']\S*(?<![.,;:)\]}>"']))"""
+        r"""|(?:[A-Za-z0-9_\-+/]{16,}|(?=[A-Za-z_\-+/]*\d)[A-Za-z0-9_\-+/]{8,})={0,2}))""",
+        re.I,
+    ),
     "email": re.compile(r"(?P<v>[A-Za-z0-9_%+'-]+(?:\.[A-Za-z0-9_%+'-]+)*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})"),
     "ip": re.compile(rf"(?<![\d.])(?P<v>(?:{_OCTET}\.){{3}}{_OCTET})(?!\d|\.\d)"),
     # all numbers that single blanks or hyphens join; _cards looks for cards among them
@@ -66,7 +74,8 @@ _PATTERNS = {
 TYPES = tuple(_PATTERNS)
 _DIGITS = re.compile(r"[0-9@]")
 _LAST_NUMBER = re.compile(r"[ .\-/(]*\d+\)?$")
-_QUICK_SECRET = re.compile(r"[:=]\s*[\"']?[A-Za-z0-9_\-+/]{16}")
+#: Every name of a credential has one of these.
+_QUICK_SECRET = ("passw", "pwd", "token", "secret", "key")
 # no look-behind: a pattern that starts with letters is searched for by its possible first letters
 _QUICK_NAME = re.compile(f"(?:{'|'.join([*_TITLE_GENDER, *' '.join(GIVEN.values()).split()])})(?!\\w)")
 _ISSUERS = re.compile(
@@ -93,7 +102,8 @@ class Entity:
 def find(text: str, types: tuple[str, ...] = TYPES) -> list[Entity]:
     """The entities of a text in order; where two overlap, the type named first in TYPES has it."""
     numbers, names = _DIGITS.search(text), _QUICK_NAME.search(text)
-    secret = "secret" in types and _QUICK_SECRET.search(text)
+    lower = text.lower()
+    secret = "secret" in types and any(x in lower for x in _QUICK_SECRET)
     if not (numbers or names or secret):
         return []
     found: list[Entity] = []
@@ -252,10 +262,12 @@ def surrogate(kind: str, canonical: str, attempt: int = 0, key: bytes = KEY) ->
         return "+" * plus + digits[:keep] + "".join(str(draw.below(10)) for _ in digits[keep:])
     if kind in ("surname", "given_f", "given_m", "given_n"):
         return _made_name(draw, canonical, "s" if kind == "surname" else kind[-1], 2 + attempt // 8)
+    # longer with every second attempt, so that short passwords never run out
+    extra = "x" * (attempt // 2)
     if re.fullmatch("[0-9a-f]+|[0-9A-F]+", canonical):
         hexadecimal = "0123456789abcdef" if canonical == canonical.lower() else "0123456789ABCDEF"
-        return "".join(hexadecimal[draw.below(16)] for _ in canonical)
-    return _like(draw, canonical)
+        return "".join(hexadecimal[draw.below(16)] for _ in canonical + extra)
+    return _like(draw, canonical + extra)
 
 
 def render(kind: str, original: str, new: str) -> str:

@@ -106,3 +106,28 @@ def test_neighbours_do_not_hide_entities(text, kinds):
     found = pii.find(text)
     assert [e.type for e in found] == kinds
     assert {e.canonical for e in found if e.type == "card"} <= {"4845168114407329", "4111111111111111"}
+
+
+@pytest.mark.parametrize("text, values", [
+    ("password: Xy12345678", ["Xy12345678"]),
+    ("Password = a!b.c#d$e, next", ["a!b.c#d$e"]),
+    ("pwd=x; passwd: 'it is \\' me'", ["x", "it is \\' me"]),
+    ('{"password": "s3cr.t", "user": "jo"}', ["s3cr.t"]),
+    ("db_password='open", ["open"]),
+    ("Password:\nForgot it? pwd:\nab12", ["ab12"]),
+    ('api_key = "ab12cd34" token: abcd', ["ab12cd34"]),
+    ("token: eyJhbGciOiJIUzI1NiJ9", ["eyJhbGciOiJIUzI1NiJ9"]),
+    ("The secret: practising. Password: ... Forgot the key: nothing", []),
+])
+def test_short_credentials(text, values):
+    assert [e.canonical for e in pii.find(text) if e.type == "secret"] == values
+    new, n, _ = pii.replace(text, {})
+    assert n == len(values) and [e.type for e in pii.find(new)] == ["secret"] * n
+
+
+def test_short_passwords_do_not_run_out(spark):
+    texts = [(i, f"pwd: {c}") for i, c in enumerate([*"0123456789abcdefghij", "!!!", "12", "a1"])]
+    rows = pii.pseudonymise(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    new = [r["text"] for r in rows]
+    assert all(r["n_entities"] == 1 for r in rows)
+    assert len(set(new)) == len(texts) and not set(new) & {t for _, t in texts}
