@@ -38,7 +38,9 @@ FOLDS = 5
 RIDGE = 0.1
 THRESHOLD = 0.5
 #: Least hashes by which near copies among the labelled rows are known.
-SKETCH = 4
+SKETCH = 64
+#: So many of them agree, at least, where two rows are near copies: a Jaccard similarity of about 0.8.
+AGREE = 52
 # Seed words of the categories before the label.
 SEEDS = {
     "insult": "idiot idiots moron morons loser losers clown clowns scum fool fools jerk jerks imbecile",
@@ -186,15 +188,27 @@ def fit_chain(x: np.ndarray, marked: dict[str, np.ndarray], y: np.ndarray, folds
 
 
 def first_of_copies(sketches: list[bytes]) -> list[int]:
-    """Places of the sketches that share no least hash with one before. A group of near copies has
-    one label, right or wrong, and would make its words look telling."""
-    seen: set = set()
-    keep = []
+    """Places of the sketches that agree with none kept before in AGREE least hashes; empty ones are
+    all kept. A group of near copies has one label, right or wrong, and would make its words look
+    telling.
+
+    Where two agree so far, at most SKETCH - AGREE hashes differ, so that of one part more than that
+    some part is equal; only sketches with an equal part are compared.
+    """
+    kept: dict[tuple[int, bytes], list[int]] = {}
+    keep, rows = [], np.zeros((len(sketches), SKETCH), U64)
+    cuts = np.linspace(0, SKETCH, SKETCH - AGREE + 2).astype(int).tolist()
     for i, raw in enumerate(sketches):
-        least = set(enumerate(np.frombuffer(raw, U64).tolist()))
-        if not least & seen:
+        if not raw:
+            keep.append(i)
+            continue
+        rows[i] = np.frombuffer(raw, U64)
+        parts = [(a, rows[i, a:b].tobytes()) for a, b in zip(cuts, cuts[1:])]
+        near = list({j for part in parts for j in kept.get(part, ())})
+        if not ((rows[near] == rows[i]).sum(1) >= AGREE).any():
             keep.append(i)
-        seen |= least
+            for part in parts:
+                kept.setdefault(part, []).append(i)
     return keep
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,3 +53,15 @@ def test_chain_uses_earlier_categories():
     assert [len(m.weights) for m in models] == [4, 5, 6]
     p = tx.Chain(np.zeros(4, np.uint64), np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), ("a", "b", "toxic"), models).probabilities(x)
     assert ((p[:, 2] > 0.5) == (y > 0)).mean() > 0.98
+
+
+def test_only_near_copies_are_left_out():
+    """Rows that share a passage all count; of rows that differ in a word only the first."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(3000)]
+    passage = " ".join(rng.choice(words, 80))
+    texts = [passage + " " + " ".join(rng.choice(words, 120)) for _ in range(60)]
+    copies = [t.rsplit(" ", 1)[0] + " other" for t in texts]
+    batch = pa.RecordBatch.from_pydict({"row": list(range(122)), "text": texts + copies + ["", ""]})
+    sketches = [x for out in tx._sketches([batch]) for x in out.column(1).to_pylist()]
+    assert tx.first_of_copies(sketches) == [*range(60), 120, 121]
