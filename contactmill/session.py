@@ -63,6 +63,17 @@ def bounded_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
         spark.conf.set(key, str(limit))
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores put before it until no column is called so, whatever the case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
