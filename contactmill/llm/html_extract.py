@@ -17,6 +17,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -30,13 +31,16 @@ from contactmill.session import bounded_batches
 
 # Names of HTML elements by their role in the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title template noscript iframe xmp noembed noframes svg math".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q ruby rt rp s samp "
-    "small span strike strong sub sup time tt u var wbr br button input select option textarea".split()
+#: Up to their end tag these hold no elements, and nothing of them is shown as text of the page.
+RAW = frozenset("script style textarea title template noscript iframe xmp noembed noframes".split())
+#: Everything else stands within a line.
+BLOCK = frozenset(
+    "html head body address article aside blockquote caption center col colgroup dd details dialog dir div dl dt fieldset "
+    "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr legend li listing main menu nav ol p "
+    "plaintext pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 SECTION = frozenset("html body div section article main nav aside header footer form table center fieldset".split())
-#: An opening tag of the key closes these, if open within the nearest section.
+#: An opening tag of the key closes these, if open within the nearest section; any other block closes a paragraph.
 CLOSES = {
     "li": ("li",),
     "dt": ("dt", "dd"),
@@ -47,10 +51,9 @@ CLOSES = {
     "option": ("option",),
 }
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?][^>]*>", re.S
-)
-_HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+#: One attribute: a name and, after an equals sign, a value in quotes or up to white space.
+_ATTRIBUTE = re.compile(r"""[\s/]*+(?:([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+)|(["'])|))?)?""")
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -64,6 +67,7 @@ class Node:
     linked: int = 0  # of them within links
     stops: int = 0  # sentence ends directly inside
     children: int = 0
+    share: int = 0  # fifths of the page's text that the subtree has
 
 
 @dataclass
@@ -74,54 +78,131 @@ class Page:
     pieces: list[tuple[int, str]] = field(default_factory=list)
 
 
+class _Tokens:
+    """Tags and texts of a page by the tokenizer states of the HTML standard, in one pass.
+
+    Where the standard drops the rest of a page (an end that never comes: of a quote, a raw element
+    other than script and style, or a tag), what is unfinished is passed over instead."""
+
+    def __init__(self, source: str):
+        self.source, self.size = source, len(source)
+        self.last = {c: source.rfind(c) for c in "\"'>"}
+        self.unended: set[str] = set()  # raw elements without an end tag from here on
+
+    def attributes(self, pos: int) -> tuple[int, str, bool]:
+        """(where the tag ends, the words of class, id and role, whether it closes itself)."""
+        source, hints = self.source, []
+        while True:
+            m = _ATTRIBUTE.match(source, pos)
+            if m.group(5):  # an open quote: the value ends where the tag seems to
+                end = source.find(">", m.end())
+                return (self.size if end < 0 else end + 1), " ".join(hints), False
+            if m.group(1) and m.group(1).lower() in ("class", "id", "role"):
+                hints.append(next(filter(None, m.group(2, 3, 4)), ""))
+            pos = m.end()
+            if pos >= self.size:
+                return self.size, " ".join(hints), False
+            if source[pos] == ">":
+                return pos + 1, " ".join(hints), source[pos - 1] == "/" and not m.group(1)
+
+    def raw_end(self, tag: str, pos: int) -> int | None:
+        """The place after the end tag of a raw element; None if it has none."""
+        if tag not in self.unended:
+            m = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I).search(self.source, pos)
+            if m:
+                return m.end()
+            self.unended.add(tag)
+        return None
+
+    def __iter__(self):
+        """(text, "", "", False) or ("", name or /name, hints, closes itself)."""
+        source, size, pos, begin = self.source, self.size, 0, 0
+        foreign = 0  # svg and math: elements may close themselves, and no content is raw
+        while True:
+            pos = source.find("<", pos)
+            if pos < 0:
+                break
+            after = source[pos + 1 : pos + 2]
+            ending = after == "/"
+            name = _NAME.match(source, pos + 1 + ending)
+            if not name and not (after in ("!", "?") or ending and pos + 2 < size) or not after:
+                pos += 1  # a lone < is text
+                continue
+            if begin < pos:
+                yield source[begin:pos], "", "", False
+            if not name:
+                if source.startswith("<!--", pos):
+                    # <!--> and <!---> are whole comments
+                    m = re.compile(r"-?>|.*?(?:--!?>|\Z)", re.S).match(source, pos + 4)
+                    pos = begin = m.end()
+                else:
+                    end = source.find(">", pos) if pos < self.last[">"] else -1
+                    pos = begin = size if end < 0 else end + 1
+                continue
+            tag = name.group().lower()
+            end, hints, closed = self.attributes(name.end())
+            pos = begin = end
+            if ending:
+                foreign = max(0, foreign - (tag in ("svg", "math")))
+                yield "", "/" + tag, "", False
+                continue
+            if tag in ("svg", "math") and not closed:
+                foreign += 1
+            elif tag in RAW and (not foreign or tag in ("script", "style")):
+                stop = None if closed and foreign else self.raw_end(tag, pos)
+                if stop is not None or tag in ("script", "style") and not (closed and foreign):
+                    pos = begin = size if stop is None else stop
+                continue
+            yield "", tag, hints, closed and (foreign > 0 or tag in ("svg", "math"))
+        if begin < size:
+            yield source[begin:], "", "", False
+
+
 def parse(source: str) -> Page:
     """The element tree of tag soup, with end tags implied as browsers do for the common cases."""
     page = Page([Node("#root", -1)])
     nodes, pieces = page.nodes, page.pieces
     stack = [0]
-    pos, size = 0, len(source)
+    opened: Counter = Counter()
+    drawing = 0  # open svg elements: their text is no text of the page
 
     def text(piece: str) -> None:
-        if piece and not piece.isspace():
+        piece = html.unescape(piece) if "&" in piece else piece
+        if not piece.isspace():
             at = stack[-1]
             nodes[at].own += len(piece)
             nodes[at].stops += piece.count(". ") + piece.count("! ") + piece.count("? ") + (piece.rstrip()[-1:] in ".!?")
             pieces.append((at, piece))
-        elif piece:
+        else:
             pieces.append((stack[-1], " "))
 
     def close(depth: int) -> None:
+        nonlocal drawing
         while len(stack) > depth:
-            if nodes[stack.pop()].tag not in INLINE:
+            tag = nodes[stack.pop()].tag
+            opened[tag] -= 1
+            drawing -= tag == "svg"
+            if tag in BLOCK:
                 pieces.append((-1, ""))
 
-    while pos < size:
-        m = _TOKEN.search(source, pos)
-        if not m:
-            text(source[pos:])
-            break
-        if m.start() > pos:
-            text(source[pos : m.start()])
-        pos = m.end()
-        name = m.group(2)
-        if not name:
+    for piece, tag, given, closed in _Tokens(source):
+        if not tag:
+            if not drawing:
+                text(piece)
             continue
-        tag = name.lower()
-        if m.group(1):
-            for depth in range(len(stack) - 1, 0, -1):
-                if nodes[stack[depth]].tag == tag:
-                    close(depth)
-                    break
-            continue
-        if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(source, pos)
-            pos = end.end() if end else (size if tag in ("script", "style") else pos)
+        if tag[0] == "/":
+            tag = tag[1:]
+            if opened[tag] and tag not in ("html", "body"):
+                depth = len(stack) - 1
+                while nodes[stack[depth]].tag != tag:
+                    depth -= 1
+                close(depth)
             continue
         if tag == "br":
             pieces.append((stack[-1], " "))
             continue
-        closes = CLOSES.get(tag, () if tag in INLINE else ("p",))
-        if closes:
+        closes = CLOSES.get(tag, ("p",) if tag in BLOCK else ())
+        if any(opened[c] for c in closes):
             for depth in range(len(stack) - 1, 0, -1):
                 open_tag = nodes[stack[depth]].tag
                 if open_tag in closes:
@@ -129,20 +210,20 @@ def parse(source: str) -> Page:
                     break
                 if open_tag in SECTION or open_tag in ("ul", "ol", "dl", "td", "th") and open_tag not in closes:
                     break
-        if tag in ("html", "body") and any(nodes[i].tag == tag for i in stack):
+        if tag in ("html", "body") and opened[tag]:
             continue
-        attributes = m.group(3)
-        hints: tuple[str, ...] = ()
-        if "=" in attributes:
-            found = " ".join(next(filter(None, g), "") for g in _HINT.findall(attributes))
-            hints = tuple(dict.fromkeys(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", found).lower())))
-        if tag not in INLINE:
+        if tag in BLOCK:
             pieces.append((-1, ""))
-        if tag in VOID:
+        if tag in VOID or closed:
             continue
+        hints: tuple[str, ...] = ()
+        if given:
+            hints = tuple(dict.fromkeys(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", given).lower())))
         nodes[stack[-1]].children += 1
         nodes.append(Node(tag, stack[-1], hints))
         stack.append(len(nodes) - 1)
+        opened[tag] += 1
+        drawing += tag == "svg"
     for i in range(len(nodes) - 1, -1, -1):
         node = nodes[i]
         node.text += node.own
@@ -152,12 +233,14 @@ def parse(source: str) -> Page:
             above = nodes[node.parent]
             above.text += node.text
             above.linked += node.linked
+    for node in nodes:
+        node.share = min(4, node.text * 5 // max(1, nodes[0].text))
     return page
 
 
 def kind(tag: str) -> int:
     """The kind of a child that its edge potential depends on."""
-    return 0 if tag in INLINE else 2 if tag in SECTION else 1
+    return 2 if tag in SECTION else 1 if tag in BLOCK else 0
 
 
 def features(node: Node) -> list[str]:
@@ -169,6 +252,8 @@ def features(node: Node) -> list[str]:
         out.append(f"size:{min(12, node.text.bit_length())}")
     else:
         out.append("size:0")
+    # what has most of the page's text, and little of it in links, is seldom beside the article
+    out.append(f"share:{node.share}" if node.linked * 2 < node.text else "share:links")
     out.append(f"own:{min(10, node.own.bit_length())}")
     out.append(f"stops:{min(4, node.stops)}")
     return out
@@ -210,7 +295,7 @@ class Model:
         for at, piece in [*page.pieces, (-1, "")]:
             if at < 0:
                 if now:
-                    block = " ".join(html.unescape("".join(now)).split())
+                    block = " ".join("".join(now).split())
                     if block:
                         blocks.append(block)
                     now = []
@@ -345,7 +430,7 @@ class _Maker:
             pick = rng.random()
             if pick < 0.7:
                 self.open("p", label)
-                self.out.append(self.words(2, rng.choice([8, 30, 120])))
+                self.out.append(self.words(2, rng.choice([8, 30, 120, 200])))
                 if rng.random() < 0.2:
                     self.element(rng.choice(["a", "b", "em", "span"]), label, self.words(1, 4))
                     self.out.append(self.words(2, 20))
@@ -416,13 +501,46 @@ class _Maker:
                 self.links()
         self.out.append(f"</{tag}>")
 
-    def page(self) -> tuple[str, list[int]]:
-        rng, some = self.rng, lambda p: self.rng.random() < p
-        for tag in ("html", "body"):
-            self.open(tag, 1)
-            if tag == "html":
+    def frame(self) -> None:
+        """The head, and sometimes no head, html or body at all."""
+        rng = self.rng
+        if rng.random() < 0.85:
+            self.open("html", 1)
+            if rng.random() < 0.8:
                 self.out.append(f"<head><title>{self.words(2, 6)}</title><script>a('<p>')</script></head>")
                 self.labels.append(0)
+            self.open("body", 1)
+
+    def plain(self) -> tuple[str, list[int]]:
+        """A page of few elements: a menu of no to three links, paragraphs, a line below them."""
+        rng = self.rng
+        self.frame()
+        links = rng.randint(0, 3)
+        if links:
+            tag = rng.choice(["nav", "nav", "div", "header"])
+            self.open(tag, 0, self.named("menu") if tag == "nav" else f' class="{rng.choice(_NAMES["menu"].split())}"')
+            for _ in range(links):
+                self.element("a", 0, self.words(1, 3), ' href="/x"')
+            self.out.append(f"</{tag}>")
+        tag = rng.choice(["article", "main", "div", "section", ""])
+        if tag:
+            self.open(tag, 1, self.named("main") if rng.random() < 0.4 else "")
+        if rng.random() < 0.5:
+            self.element("h1", 1, self.words(1, 9))
+        for _ in range(rng.randint(1, 7)):
+            self.element("p", 1, self.words(*rng.choice([(1, 10), (6, 30), (30, 80), (80, 220)])))
+        self.out.append(f"</{tag}>" if tag else "")
+        if rng.random() < 0.5:
+            tag = rng.choice(["footer", "footer", "div"])
+            self.open(tag, 0, self.named("footer") if tag == "footer" else f' class="{rng.choice(_NAMES["footer"].split())}"')
+            self.out.append(self.words(2, 14) + f"</{tag}>")
+        return "".join(self.out), self.labels
+
+    def page(self) -> tuple[str, list[int]]:
+        rng, some = self.rng, lambda p: self.rng.random() < p
+        if some(0.3):
+            return self.plain()
+        self.frame()
         wrappers = []
         for _ in range(rng.randint(0, 2)):
             self.open("div", 1, rng.choice([' id="page"', ' class="wrapper"', ' class="container"', ""]))
@@ -434,7 +552,7 @@ class _Maker:
         tags = [] if bare else rng.choice([["article"], ["main"], ["main", "article"], ["div"], ["section"], ["div", "div"]])
         for tag in tags:
             self.open(tag, 1, self.named("main") if tag != "div" else f' class="{rng.choice(_NAMES["main"].split())}"')
-        if some(0.7):
+        if some(0.6):
             self.element("h1", 1, self.words(2, 12))
         self.prose(1, 1, 4)
         for role, p in (("advert", 0.25), ("share", 0.2), ("notice", 0.1), ("sidebar", 0.1)):
