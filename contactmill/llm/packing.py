@@ -4,25 +4,54 @@ The histogram of token lengths of the whole corpus decides the bucket boundaries
 programming over its lengths finds the boundaries with the least padding, exactly. Every document
 is padded to its bucket's boundary; a bucket's batches hold as many documents as the token budget
 has room for. Documents beyond the budget are batches of their own, without padding.
+
+Tokens are counted once, by a byte-level BPE whose ranks are read from a file on the driver; the
+rows with their lengths are then a table that all further steps read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import base64
+from functools import lru_cache
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contactmill.session import broadcast_if_small
+from contactmill.session import bounded_batches, broadcast_if_small, materialise
 
 BUDGET = 16_384
 BUCKETS = 8
 #: Documents that one task numbers at once.
 NUMBERED = 20_000
 SEED = 7
+#: Lines of a token's bytes in base64 and its rank.
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# Fixed value: how byte-level BPE of this vocabulary splits a text before merging.
+SPLITS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_ADDED = ("n_tokens", "bucket", "boundary", "batch", "slot")
+
+
+@lru_cache(maxsize=2)
+def _encoder(ranks: bytes):
+    import tiktoken
 
+    merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("ranks", pat_str=SPLITS, mergeable_ranks=merges, special_tokens={})
 
-def word_tokens(text: Column) -> Column:
-    """Runs of non-space characters, and one for the end of the text; null counts as empty."""
-    return (F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")) + 1).cast("int")
+
+def bpe_tokens(spark: SparkSession, ranks: str = RANKS):
+    """A function from a text column to its number of tokens, with one for the end of the text; null
+    counts as empty. The file is read on the driver; workers get its content."""
+    with open(ranks, "rb") as file:
+        shared = spark.sparkContext.broadcast(file.read())
+
+    @F.pandas_udf("int")
+    def count(texts: pd.Series) -> pd.Series:
+        encode = _encoder(shared.value).encode_ordinary
+        return pd.Series([len(encode(t)) + 1 if t else 1 for t in texts], dtype="int32")
+
+    return count
 
 
 def optimal_boundaries(histogram: dict[int, int], buckets: int) -> tuple[list[int], int]:
@@ -73,31 +102,46 @@ def optimal_boundaries(histogram: dict[int, int], buckets: int) -> tuple[list[in
     return sorted(cuts), best[size - 1]
 
 
-def pack(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    budget: int = BUDGET,
-    buckets: int = BUCKETS,
-    tokens=word_tokens,
-    seed: int = SEED,
+def with_lengths(docs: DataFrame, text_col: str = "text", tokens=None) -> DataFrame:
+    """docs with n_tokens. tokens: a function from the text column to its length column; the
+    byte-level BPE if none is given."""
+    bounded_batches(docs.sparkSession)
+    tokens = tokens or bpe_tokens(docs.sparkSession)
+    return docs.drop("n_tokens").withColumn("n_tokens", tokens(F.col(text_col)).cast("int"))
+
+
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokens=None, **options) -> DataFrame:
+    """pack_lengths of docs whose lengths are counted by `tokens` (see with_lengths)."""
+    return pack_lengths(with_lengths(docs, text_col, tokens), id_col, **options)
+
+
+def pack_lengths(
+    docs: DataFrame, id_col: str = "doc_id", budget: int = BUDGET, buckets: int = BUCKETS, seed: int = SEED
 ) -> DataFrame:
-    """All columns of docs, and n_tokens, bucket, boundary, batch and slot.
+    """All columns of docs, which has n_tokens, and bucket, boundary, batch and slot.
 
-    tokens: a function from the text column to its length column. bucket counts from 0 in order of
-    boundaries; documents longer than the budget have the bucket after the last and are their own
-    boundary. batch is a number that no other batch of any bucket has, slot counts from 0 within
-    the batch. In each bucket documents come in order of a seeded hash of the id and text.
+    bucket counts from 0 in order of boundaries; documents longer than the budget have the bucket
+    after the last and are their own boundary. batch is a number that no other batch of any bucket
+    has, slot counts from 0 within the batch. In each bucket documents come in order of a seeded
+    hash of id and length, dealt out over parts that one task numbers; rows that repeat an id and a
+    length very often are dealt out one by one.
 
-    A null text counts as empty. Null or repeated ids take part like others; repeated rows are
-    placed each for itself. Columns of docs with the added names are replaced. An empty table gives
-    an empty result. Nothing is dropped or cut.
+    A null length counts as 0, a null id is an id like others; repeated rows are placed each for
+    itself. Columns of docs called bucket, boundary, batch or slot are replaced, others may have any
+    name. An empty table gives an empty result. Nothing is dropped or cut.
     """
     spark = docs.sparkSession
-    docs = docs.drop("n_tokens", "bucket", "boundary", "batch", "slot")
-    sized = docs.withColumn("n_tokens", tokens(F.col(text_col)))
+    own = [c for c in docs.columns if c.lower() not in _ADDED]
+    length = F.coalesce(F.col("n_tokens").cast("int"), F.lit(0))
+    order = F.xxhash64(F.lit(seed), F.col(id_col), length)
+    # columns of docs stay in a struct, so that their names meet no other
+    rows = docs.select(
+        F.struct(*own).alias("row"), length.alias("n"), order.alias("order"), F.monotonically_increasing_id().alias("number")
+    )
+    rows, _ = materialise(rows, "lengths")
+
     # lengths up to the budget and one row for all beyond: at most budget + 2 rows
-    counted = sized.groupBy(F.least("n_tokens", F.lit(budget + 1)).alias("n")).count().collect()
+    counted = rows.groupBy(F.least("n", F.lit(budget + 1)).alias("n")).count().collect()
     histogram = {r["n"]: r["count"] for r in counted}
     beyond = histogram.pop(budget + 1, 0)
     cuts, _ = optimal_boundaries(histogram, buckets)
@@ -111,24 +155,26 @@ def pack(
     plan = spark.createDataFrame(plan, "bucket int, cut int, room int, first_batch long, parts int")
     bucket = F.lit(len(cuts))
     for k in reversed(range(len(cuts))):
-        bucket = F.when(F.col("n_tokens") <= cuts[k], k).otherwise(bucket)
-    order = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
-    placed = sized.withColumns({"bucket": bucket.cast("int"), "order": order})
-    placed = placed.join(F.broadcast(plan), "bucket").withColumn(
-        "part", F.pmod(F.xxhash64("order"), F.col("parts")).cast("int")
-    )
+        bucket = F.when(F.col("n") <= cuts[k], k).otherwise(bucket)
+
+    often = rows.groupBy("order").count().where(F.col("count") > max(1, NUMBERED // 4)).select("order")
+    often, _ = materialise(often.withColumn("often", F.lit(True)), "often")
+    rows = rows.join(broadcast_if_small(often, often.count(), 32), "order", "left")
+    dealt = F.xxhash64("order", F.when(F.col("often"), F.col("number")))
+    placed = rows.withColumn("bucket", bucket.cast("int")).join(F.broadcast(plan), "bucket")
+    placed = placed.withColumn("part", F.pmod(dealt, F.col("parts")).cast("int"))
     counts = placed.groupBy("bucket", "part").count()
     earlier = Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = counts.select("bucket", "part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("begin"))
     parts = sum(histogram.values()) // NUMBERED + beyond // NUMBERED + len(cuts) + 1
     placed = placed.join(broadcast_if_small(begins, parts, 32), ["bucket", "part"])
-    inside = F.row_number().over(Window.partitionBy("bucket", "part").orderBy("order", id_col))
+    inside = F.row_number().over(Window.partitionBy("bucket", "part").orderBy("order", "number"))
     placed = placed.withColumn("place", F.col("begin") + inside - 1)
     return placed.select(
-        *docs.columns,
-        "n_tokens",
+        *[F.col("row")[c].alias(c) for c in own],
+        F.col("n").alias("n_tokens"),
         "bucket",
-        F.when(F.col("bucket") == len(cuts), F.col("n_tokens")).otherwise(F.col("cut")).alias("boundary"),
+        F.when(F.col("bucket") == len(cuts), F.col("n")).otherwise(F.col("cut")).alias("boundary"),
         (F.col("first_batch") + F.floor(F.col("place") / F.col("room"))).alias("batch"),
         F.pmod("place", "room").cast("int").alias("slot"),
     )

@@ -132,14 +132,19 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f W
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    """Places of all documents in batches; only ids and lengths leave the first pass."""
+    sized = packing.with_lengths(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    packed = packing.pack_lengths(sized.select("doc_id", "n_tokens"))
     return packed.select("doc_id", "n_tokens", "bucket", "boundary", "batch", "slot")
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled and written as shards; the result is read from the written shards."""
     shuffled = shards.external_shuffle(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    path = scratch_path(spark, "shards")
+    shards.write_shards(shuffled, path)
     text = F.coalesce("text", F.lit(""))
-    return shuffled.select(
+    return spark.read.schema(shuffled.schema).parquet(path).select(
         "doc_id",
         (F.octet_length(text) + shards.ROW_BYTES).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),

@@ -1,9 +1,10 @@
 """Sharding by a two-pass external shuffle.
 
 Pass one scatters the rows uniformly by seeded hashes: an id's hash, by jump consistent hashing,
-tells its shard, and another its memory-sized bucket within the shard. Pass two shuffles each
-bucket by Fisher-Yates with a generator seeded by the bucket, and writes it. The shard depends on
-the id and the number of shards alone (law "key"): one more shard takes rows only into itself.
+tells its shard, and a hash of id and text its memory-sized bucket within the shard. Pass two
+shuffles each bucket by Fisher-Yates with a generator seeded by the bucket, and writes it. The shard
+depends on the id and the number of shards alone (law "key"): one more shard takes rows only into
+itself. Where a bucket begins in its shard comes as a row of its own, before the bucket's rows.
 """
 
 from __future__ import annotations
@@ -13,10 +14,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from contactmill.llm.textkernel import mix
-from contactmill.session import bounded_batches, broadcast_if_small
+from contactmill.session import bounded_batches, broadcast_if_small, materialise
 
 U64 = np.uint64
 SHARDS = 40
@@ -26,6 +27,9 @@ BUCKET_BYTES = 8 << 20
 #: Added to a text's bytes for what a row takes besides.
 ROW_BYTES = 16
 LAW = "key"
+#: Rows with one id and text that are dealt to a bucket together; where there are more, they are
+#: dealt to several.
+TOGETHER = 500
 _NULL_ID = -(2**63)
 
 
@@ -48,51 +52,47 @@ def _hashes(ids: pa.Array, seed: int) -> np.ndarray:
     return mix(mix(values + U64(0x9E3779B97F4A7C15)) ^ mix(np.array([seed], U64)))
 
 
-def scatter(docs: DataFrame, id_col: str, shards: int, seed: int, buckets: int) -> DataFrame:
-    """Pass one's columns: all of docs, and shard, grown_shard and bucket. Only ids go to Python."""
+def scatter(rows: DataFrame, shards: int, seed: int, buckets: int) -> DataFrame:
+    """Pass one: rows (id, key, salt and others) with shard, grown_shard and bucket. Only ids go to Python."""
 
-    @F.pandas_udf("shard int, grown_shard int, bucket int")
+    @F.pandas_udf("shard int, grown_shard int")
     def place(ids: pd.Series) -> pd.DataFrame:
         keys = _hashes(pa.array(ids, pa.int64(), from_pandas=True), seed)
-        inner = (mix(keys ^ U64(0xA5A5A5A5A5A5A5A5)) >> U64(32)) % U64(buckets)
-        return pd.DataFrame(
-            {"shard": jump_hash(keys, shards), "grown_shard": jump_hash(keys, shards + 1), "bucket": inner}
-        ).astype("int32")
+        return pd.DataFrame({"shard": jump_hash(keys, shards), "grown_shard": jump_hash(keys, shards + 1)}).astype("int32")
 
-    # a null id is dealt out as the least number there is, which is an id like any other
-    number = F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID))
-    placed = docs.withColumn("place", place(number))
-    return placed.select(*docs.columns, "place.shard", "place.grown_shard", "place.bucket")
+    rows = rows.withColumn("place", place("id"))
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "key", "salt"), F.lit(buckets)).cast("int")
+    return rows.withColumns({"shard": F.col("place.shard"), "grown_shard": F.col("place.grown_shard"), "bucket": bucket})
 
 
-def _fisher_yates(seed: int, shard_at: int, bucket_at: int):
-    """Rows sorted by (shard, bucket, key) -> each bucket shuffled, with the place in the bucket."""
+def _fisher_yates(seed: int):
+    """Rows (row, shard, grown_shard, bucket, begin) sorted by bucket, each bucket led by a row that
+    has its begin -> (row, shard, grown_shard, slot), each bucket shuffled."""
 
-    def flush(parts: list[pa.RecordBatch], key: tuple):
+    def flush(parts: list[pa.RecordBatch], now: tuple[int, int], begin: int):
         table = pa.Table.from_batches(parts)
         order = np.arange(table.num_rows)
-        np.random.default_rng([seed, *key]).shuffle(order)  # Fisher-Yates
-        table = table.take(pa.array(order))
-        table = table.append_column("place", pa.array(np.arange(table.num_rows), pa.int64()))
+        np.random.default_rng([seed, *now]).shuffle(order)  # Fisher-Yates
+        table = table.select([0, 1, 2]).take(pa.array(order))
+        table = table.append_column("slot", pa.array(begin + np.arange(table.num_rows), pa.int64()))
         return table.combine_chunks().to_batches()
 
     def run(batches):
-        held, now = [], None
+        held, now, begin = [], None, 0
         for batch in batches:
-            shard = batch.column(shard_at).to_numpy().astype(np.int64)
-            bucket = batch.column(bucket_at).to_numpy().astype(np.int64)
-            edges = np.flatnonzero((shard[1:] != shard[:-1]) | (bucket[1:] != bucket[:-1])) + 1
-            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(shard)]):
-                if a == b:
-                    continue
-                key = (int(shard[a]), int(bucket[a]))
-                if key != now and held:
-                    yield from flush(held, now)
-                    held = []
-                now = key
-                held.append(batch.slice(a, b - a))
+            begins = batch.column(4)
+            leads = np.flatnonzero(begins.is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for a, b in zip([None, *leads], [*leads, batch.num_rows]):
+                if a is not None:
+                    if held:
+                        yield from flush(held, now, begin)
+                    held, now = [], (batch.column(1)[a].as_py(), batch.column(3)[a].as_py())
+                    begin = begins[a].as_py()
+                first = 0 if a is None else a + 1
+                if first < b:
+                    held.append(batch.slice(first, b - first))
         if held:
-            yield from flush(held, now)
+            yield from flush(held, now, begin)
 
     return run
 
@@ -108,31 +108,56 @@ def external_shuffle(
     """All columns of docs, and shard, grown_shard (with one more shard) and slot.
 
     slot counts gaplessly from 0 within a shard: a bucket's offset and the place in the shuffled
-    bucket. Equal ids go to the same shard. A null id is one more id. Null texts are kept. Rows
-    that are repeated keep their number. Columns of docs called shard, grown_shard, slot, bucket or
-    place are replaced. An empty table gives an empty result.
+    bucket. Equal ids go to the same shard, but to its buckets by their texts; rows that repeat an
+    id and a text more than TOGETHER times are dealt to many buckets, so that no bucket grows with
+    the repeats of one row. A null id is one more id. Null texts are kept. Rows that are repeated
+    keep their number. Columns of docs called shard, grown_shard or slot are replaced, others may
+    have any name. An empty table gives an empty result.
     """
-    bounded_batches(docs.sparkSession)
-    docs = docs.drop("shard", "grown_shard", "slot", "bucket", "place")
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    own = [c for c in docs.columns if c.lower() not in ("shard", "grown_shard", "slot")]
     sized = docs.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + ROW_BYTES).alias("b")).first()["b"] or 0
     buckets = max(1, -(-sized // (shards * bucket_bytes)))
-    dealt = scatter(docs, id_col, shards, seed, buckets)
+    # a null id is dealt out as the least number there is, which is an id like any other
+    number = F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID))
+    key = F.xxhash64(F.lit(seed), number, F.col(text_col))
+    # columns of docs stay in a struct, so that their names meet no other
+    rows = docs.select(F.struct(*own).alias("row"), number.alias("id"), key.alias("key"), F.lit(0).cast("long").alias("salt"))
+
+    often = rows.groupBy("key").count().where(F.col("count") > TOGETHER).select("key")
+    often, _ = materialise(often, "often")
+    n = often.count()
+    if n:
+        # equal rows are counted, and their copies made again, each with its own salt: however a task
+        # is repeated, the same copies go to the same buckets
+        often = broadcast_if_small(often, n, 32)
+        copies = rows.join(often, "key", "left_semi").groupBy("row", "id", "key").count()
+        copies = copies.select("row", "id", "key", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("copy"))
+        copies = copies.select("row", "id", "key", F.floor(F.col("copy") / TOGETHER).alias("salt"))
+        rows = rows.join(often, "key", "left_anti").select("row", "id", "key", "salt").unionByName(copies)
+
+    dealt = scatter(rows, shards, seed, buckets)
+    # where each bucket begins in its shard: one row for each bucket
+    counts = scatter(rows.select("id", "key", "salt"), shards, seed, buckets).groupBy("shard", "bucket").count()
+    earlier = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("shard", "bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("begin"))
+    kind = dealt.schema["row"].dataType
+    dealt = dealt.select("row", "shard", "grown_shard", "bucket", F.lit(None).cast("long").alias("begin"), "key").union(
+        begins.select(F.lit(None).cast(kind), "shard", F.lit(None).cast("int"), "bucket", "begin", F.lit(None).cast("long"))
+    )
     tasks = min(shards * buckets, 100_000)
     dealt = dealt.repartition(tasks, "shard", "bucket").sortWithinPartitions(
-        "shard", "bucket", F.xxhash64(id_col), id_col, text_col
+        "shard", "bucket", F.col("begin").isNull(), "key"
     )
-    columns = dealt.columns
-    shuffled = dealt.mapInArrow(
-        _fisher_yates(seed, columns.index("shard"), columns.index("bucket")), StructType([*dealt.schema.fields, StructField("place", LongType())])
+    fields = [("row", kind), ("shard", IntegerType()), ("grown_shard", IntegerType()), ("slot", LongType())]
+    shuffled = dealt.select("row", "shard", "grown_shard", "bucket", "begin").mapInArrow(
+        _fisher_yates(seed), StructType([StructField(*f) for f in fields])
     )
-    # where each bucket begins in its shard: one row for each bucket
-    counts = scatter(docs.select(id_col), id_col, shards, seed, buckets).groupBy("shard", "bucket").count()
-    earlier = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("shard", "bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("begin"))
-    out = shuffled.join(broadcast_if_small(begins, shards * buckets, 32), ["shard", "bucket"])
-    return out.select(*docs.columns, "shard", "grown_shard", (F.col("begin") + F.col("place")).alias("slot"))
+    return shuffled.select(*[F.col("row")[c].alias(c) for c in own], "shard", "grown_shard", "slot")
 
 
-def write_shards(shuffled: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write each shard to a folder shard=<n> of Parquet files, with rows in order of slot."""
-    shuffled.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(shuffled: DataFrame, path: str) -> None:
+    """Write the rows to folders shard=<n> of Parquet files: each task writes the buckets it shuffled,
+    in order of slot, so that no shard is ever gathered in one task."""
+    shuffled.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -55,11 +55,12 @@ def judge(
     A null url, or one without ://, has an empty host and path, which no rule fits. Rules with a
     null or empty host, or a null path or verdict, are ignored; repeated rules count once. Repeated
     rows of pages are kept. An empty table of rules leaves every verdict at the default. Columns of
-    pages called host, path, rule or verdict are replaced.
+    pages called host, path, rule or verdict are replaced, others may have any name.
     """
-    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    own = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     host, path = host_and_path(F.col(url_col))
-    judged = pages.withColumns({"host": host, "path": path}).select(*own, "host", "path")
+    # columns of pages stay in a struct, so that their names meet no other
+    judged = pages.select(F.struct(*own).alias("row"), host.alias("host"), path.alias("path"))
 
     # an expression is the host, a line feed, which no host has, and the path
     usable = rules.where("host <> '' and path is not null and verdict is not null").select("host", "path", "verdict")
@@ -93,9 +94,12 @@ def judge(
         F.col("rule").alias("d"),
     )
     best = fits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), order).alias("best"))
-    out = judged.join(best, ["host", "path"], "left")
+    # urls without a host meet no rule; they may be many, and would all be one key
+    named = judged.where("host <> ''").join(best, ["host", "path"], "left")
+    bare = judged.where("host = ''").select("host", "path", "row", F.lit(None).cast(best.schema["best"].dataType).alias("best"))
+    out = named.select("host", "path", "row", "best").union(bare)
     return out.select(
-        *own,
+        *[F.col("row")[c].alias(c) for c in own],
         "host",
         "path",
         F.col("best.rule").alias("rule"),

@@ -1,6 +1,8 @@
 import itertools
 import random
 
+from pyspark.sql import functions as F
+
 from contactmill.llm import packing, queries
 
 
@@ -43,16 +45,32 @@ def check(rows, budget):
 def test_query(spark, tiny):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
     rows = queries.op7_packing(spark, tiny).collect()
-    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {d: len((t or "").split()) + 1 for d, t in texts.items()}
+    from tokenizers import Tokenizer
+
+    # another library's reading of the same vocabulary
+    encode = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json").encode
+    want = {d: len(encode(t or "", add_special_tokens=False).ids) + 1 for d, t in texts.items()}
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == want
     check(rows, packing.BUDGET)
 
 
+def words(text):
+    return (F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")) + 1).cast("int")
+
+
 def test_edges(spark, monkeypatch):
     monkeypatch.setattr(packing, "NUMBERED", 7)
     rng = random.Random(1)
     data = [(rng.choice([None, 1, 2, i]), None if i % 11 == 0 else "w " * rng.randint(0, 60), "b") for i in range(200)]
-    df = spark.createDataFrame(data, "doc_id long, text string, bucket string")
-    rows = packing.pack(df, budget=50, buckets=4).collect()
-    assert len(rows) == 200 and any(r["n_tokens"] > 50 for r in rows)
+    df = spark.createDataFrame(data + [(5, "same", "b")] * 60, "doc_id long, text string, bucket string")
+    rows = packing.pack(df, tokens=words, budget=50, buckets=4).collect()
+    assert len(rows) == 260 and any(r["n_tokens"] > 50 for r in rows)
     check(rows, 50)
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_tokens(spark):
+    texts = [None, "", "hello world", "東京は日本の首都です" * 20, "a" * 5000, "<|endoftext|>"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r["n_tokens"] for r in packing.with_lengths(df).collect()}
+    assert found[0] == found[1] == 1 and found[2] == 3 and found[3] > 200 and found[4] < 5001 and found[5] > 2

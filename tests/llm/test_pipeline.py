@@ -1,8 +1,11 @@
 import re
 
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from contactmill.llm import packing, pii, toxicity
 
+TOKENS = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json").encode
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -66,7 +69,7 @@ def test_against_brute_force(spark, tiny):
 
 
 def packing_tokens(text):
-    return len(re.findall(r"[^ \t\n\x0B\f\r]+", text)) + 1
+    return len(TOKENS(text, add_special_tokens=False).ids) + 1
 
 
 def test_stages(spark, tiny):
