@@ -157,7 +157,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents", "doc_id", "text")
-    chain = toxicity.train(docs, _read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    chain = toxicity.train(docs, _read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
     return toxicity.predict(docs, chain).drop("text")
 
 

@@ -1,14 +1,16 @@
 """Toxicity: a classifier chain of linear models over words and beginnings of words.
 
-The categories are predicted one after the other; each model sees the features of a document and
-the probabilities of the categories before its own. In training those come from models that have
-not seen the document (out-of-fold), so that later models learn from predictions as good as they
-will get. The last category is the label itself; those before it are narrower: documents labelled
-toxic that have one of the category's seed words.
+The labelled categories are predicted one after the other, the target last; each model sees the
+features of a document and the probabilities of the categories before its own. In training those
+come from models that have not seen the document (out-of-fold), so that later models learn from
+predictions as good as they will get.
 
 A feature is a word, or the first bytes of words, that occurs at least once, twice or three times
-in a text. Models are fitted on the driver, on at most SAMPLE labelled rows, chosen by a hash of
-their id; prediction covers every row, and all that tasks get is the chain with its features.
+in a text. All features count that at least SUPPORT labelled rows have and that tell more of the
+target, for or against it, than the best of as many random ones would; the fit is a logistic
+regression with a ridge, by Newton steps. Models are fitted on the driver, on at most SAMPLE
+labelled rows, chosen by a hash of their id; prediction covers every row, and all that tasks get is
+the chain with its features.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from contactmill.session import bounded_batches, discard, materialise
 U64 = np.uint64
 #: Labelled rows that the chain is fitted on, at most.
 SAMPLE = 8_000
-#: Features that the models see: those that tell most about the label.
-FEATURES = 300
+#: Rows that a feature must occur in.
+SUPPORT = 3
 #: Lengths in bytes of beginnings of words; 0: whole words.
 HEADS = (0, 4, 5, 6, 7, 8)
 #: A feature asks for this many occurrences.
@@ -41,12 +43,8 @@ THRESHOLD = 0.5
 SKETCH = 64
 #: So many of them agree, at least, where two rows are near copies: a Jaccard similarity of about 0.8.
 AGREE = 52
-# Seed words of the categories before the label.
-SEEDS = {
-    "insult": "idiot idiots moron morons loser losers clown clowns scum fool fools jerk jerks imbecile",
-    "contempt": "stupid pathetic worthless disgusting trash garbage filthy useless vile despicable",
-}
-TARGET = "toxic"
+#: Columns of labels that the chain predicts, in this order, where the labels have them.
+CATEGORIES = ("quality", "toxic")
 
 
 def _words(texts) -> Iterator[tuple[int, int, K.Words]]:
@@ -92,11 +90,6 @@ def feature(token: np.ndarray, times: int) -> np.ndarray:
     return K.mix(token ^ U64((times + 1) * 0x9E3779B97F4A7C15 % 2**64))
 
 
-def seed_tokens(listed: str) -> np.ndarray:
-    (_, _, found), = _words(pa.array([listed]))
-    return feature(K.mix(found.hash), 0)
-
-
 @dataclass(frozen=True)
 class Linear:
     weights: np.ndarray  # of the features, then of the categories before
@@ -170,14 +163,13 @@ def evidence(has, toxic, n: int, t: int) -> np.ndarray:
     )
 
 
-def fit_chain(x: np.ndarray, marked: dict[str, np.ndarray], y: np.ndarray, folds: int = FOLDS) -> tuple[Linear, ...]:
-    """Models for the categories in the order of marked (which texts have a seed word), then for y."""
-    labels = [*(m * y for m in marked.values()), y]
-    fold = np.arange(len(y)) % folds
-    models, before = [], np.zeros((len(y), 0))
+def fit_chain(x: np.ndarray, labels: list[np.ndarray], folds: int = FOLDS) -> tuple[Linear, ...]:
+    """A model for each category, in the order of the chain."""
+    fold = np.arange(len(x)) % folds
+    models, before = [], np.zeros((len(x), 0))
     for target in labels:
         full = np.column_stack([x, before])
-        out = np.zeros(len(y))
+        out = np.zeros(len(x))
         for k in range(folds):
             rest, held = fold != k, fold == k
             if held.any():
@@ -251,23 +243,23 @@ def _feature_counts(kept):
 
 
 def _chosen_features(kept, chosen: np.ndarray):
-    """Batches of (row, text, label) -> (row, label, chosen features, with the tokens they come from)."""
+    """Batches of (row, text) -> (row, its chosen features) of the kept rows."""
 
     def run(batches):
         wanted = kept.value
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            labels = batch.column(2).to_pylist()
             for lo, hi, found in _words(batch.column(1)):
                 rows, features = counted(found)
                 hit = np.isin(features, chosen)
                 rows, features = rows[hit], features[hit]
-                for i in range(hi - lo):
-                    if ids[lo + i] in wanted:
-                        yield pa.RecordBatch.from_pydict({
-                            "row": [ids[lo + i]], "label": [labels[lo + i]],
-                            "features": [features[rows == i].tobytes()],
-                        }, pa.schema([("row", pa.int64()), ("label", pa.int32()), ("features", pa.binary())]))
+                features = features[np.argsort(rows, kind="stable")]
+                ends = np.cumsum(np.bincount(rows, minlength=hi - lo)).tolist()
+                use = [i for i in range(hi - lo) if ids[lo + i] in wanted]
+                raw = [features[ends[i - 1] if i else 0 : ends[i]].tobytes() for i in use]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[lo + i] for i in use], pa.int64()), pa.array(raw, pa.binary())], ["row", "features"]
+                )
 
     return run
 
@@ -299,62 +291,59 @@ def train(
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    label_col: str = "toxic",
+    categories: tuple[str, ...] = CATEGORIES,
     sample: int = SAMPLE,
 ) -> Chain:
-    """A chain fitted on the rows of labels (id, 0 or 1) that docs has.
-
-    At most about `sample` rows are used, chosen by a hash of the id. Rows with a null id or label
-    are left out; a null text has no words. An id with several labels or texts counts each time,
-    but of rows that are near copies only the first. Without any labelled row, or with labels of
-    one kind, the chain has no features and its probabilities are the smoothed share of toxic rows
-    (a quarter without labels, so that nothing is called toxic).
+    """A chain fitted on the rows of labels (id, and 0 or 1 for each category) that docs has.
+
+    The last of the categories is the target, which labels must have; of the others those are
+    predicted that labels has. At most about `sample` rows are used, chosen by a hash of the id. Rows
+    with a null id or target are left out; a null in an earlier category counts as 0; a null text has
+    no words. An id with several labels or texts counts each time, but of rows that are near copies
+    only the first. Without any labelled row, or with labels of one kind, the chain has no features
+    and its probabilities are the smoothed share of positive rows (a quarter without labels, so that
+    nothing is called toxic).
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-    known = known.where("id is not null and label is not null")
+    target = categories[-1]
+    names = [c for c in categories if c in labels.columns]
+    places = [F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(f"y{k}") for k, c in enumerate(names)]
+    known = labels.where(F.col(id_col).isNotNull() & F.col(target).isNotNull()).select(F.col(id_col).alias("id"), *places)
     total = known.count()
     if total > sample:
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < (sample << 30) // total)
     # at most about `sample` rows, so the broadcast is bounded
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
     # rows have a number of their own, the same however the table is read
-    numbered = F.xxhash64("id", "text", "label")
-    rows, path = materialise(chosen.select(numbered.alias("row"), "text", "label").distinct(), "labelled")
+    marks = [f"y{k}" for k in range(len(names))]
+    rows = chosen.select(F.xxhash64("id", "text", *marks).alias("row"), "text", F.col(marks[-1]).alias("label"), *marks)
+    rows, path = materialise(rows.dropDuplicates(["row"]), "labelled")
 
     sketches = {r["row"]: bytes(r["sketch"]) for r in
                 rows.select("row", "text").mapInArrow(_sketches, "row long, sketch binary").collect()}
-    names = sorted(sketches)
-    kept = spark.sparkContext.broadcast({names[i] for i in first_of_copies([sketches[r] for r in names])})
+    order = sorted(sketches)
+    kept = spark.sparkContext.broadcast({order[i] for i in first_of_copies([sketches[r] for r in order])})
+    given = {r["row"]: [float(r[m] > 0) for m in marks] for r in rows.select("row", *marks).collect() if r["row"] in kept.value}
 
-    n = len(kept.value)
-    t = sum(r["label"] > 0 for r in rows.select("row", "label").collect() if r["row"] in kept.value)
-    counts = rows.mapInArrow(_feature_counts(kept), "feature long, has long, toxic long")
+    n, t = len(given), int(sum(y[-1] for y in given.values()))
+    counts = rows.select("row", "text", "label").mapInArrow(_feature_counts(kept), "feature long, has long, toxic long")
     counts = counts.groupBy("feature").agg(F.sum("has").alias("has"), F.sum("toxic").alias("toxic"))
-    least = 3 if n < 2000 else 8
-    counts = counts.where(f"has >= {least} and 2 * toxic >= has").collect() if 0 < t < n else []
+    counts = counts.where(F.col("has") >= SUPPORT).collect() if 0 < t < n else []
     value = np.array([r["feature"] for r in counts], np.int64)
     has, toxic = (np.array([r[c] for r in counts], float) for c in ("has", "toxic"))
     features = np.zeros(0, U64)
     if len(value):
-        score = evidence(has, toxic, n, t)
         # what chance alone reaches among so many features is left out
-        best = np.lexsort((value, -score))[:FEATURES]
-        features = np.sort(value[best[score[best] > 2 * np.log(len(value)) + 4]].view(U64))
+        features = np.sort(value[evidence(has, toxic, n, t) > 2 * np.log(len(value)) + 4].view(U64))
 
-    seeds = {c: seed_tokens(listed) for c, listed in SEEDS.items()}
-    wanted = np.concatenate([features, *seeds.values()])
-    found = rows.mapInArrow(_chosen_features(kept, wanted), "row long, label int, features binary").collect()
+    found = rows.select("row", "text").mapInArrow(_chosen_features(kept, features), "row long, features binary").collect()
     found.sort(key=lambda r: r["row"])
-    x, y = np.zeros((len(found), len(features))), np.array([r["label"] > 0 for r in found], float)
-    marked = {c: np.zeros(len(found)) for c in seeds}
+    x = np.zeros((len(found), len(features)))
     for i, r in enumerate(found):
-        mine = np.frombuffer(r["features"], U64)
-        x[i] = np.isin(features, mine)
-        for c, words in seeds.items():
-            marked[c][i] = np.isin(words, mine).any()
-    models = fit_chain(x, marked, y)
+        x[i, np.searchsorted(features, np.frombuffer(r["features"], U64))] = 1
+    y = np.array([given[r["row"]] for r in found]).reshape(len(found), len(names))
+    models = fit_chain(x, list(y.T))
 
     origin = rows.select("text").mapInArrow(_tokens_of(features), "feature long, token long, times int")
     origin = {r["feature"]: r for r in origin.distinct().collect()}
@@ -362,19 +351,19 @@ def train(
     times = np.array([origin[f]["times"] for f in features.view(np.int64).tolist()], np.int64)
     distinct, place = np.unique(of, return_inverse=True)
     discard(spark, path)
-    return Chain(features, distinct, place, times, (*SEEDS, TARGET), models)
+    return Chain(features, distinct, place, times, tuple(names), models)
 
 
 def predict(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of docs, p_<category> for each category of the chain, and is_toxic.
+    """All columns of docs, p_<category> for each category of the chain, and is_<the last one>.
 
     A null or empty text has no words: it gets the chain's probabilities for none. Repeated rows
     get equal results. Columns of docs with the added names are replaced. An empty table gives an
     empty result.
     """
     bounded_batches(docs.sparkSession)
-    added = [f"p_{c}" for c in chain.categories] + ["is_toxic"]
-    docs = docs.select(*[c for c in docs.columns if c not in added])
+    added = [f"p_{c}" for c in chain.categories] + [f"is_{chain.categories[-1]}"]
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in added])
     names = [*docs.columns, *added]
     at = names.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
