@@ -34,27 +34,53 @@ TABLE_BYTES = 8 << 20
 _FACTOR = U64(0xD1342543DE82EF95)
 
 
-def _bytes_of(w: K.Words, at: int, size: int) -> tuple[bytes, ...]:
-    return tuple(bytes(w.buf[w.start[i] : w.end[i]]).lower() for i in range(at, at + size))
-
-
-@dataclass
+@dataclass(frozen=True)
 class Table:
-    """Wu-Manber tables for patterns of `length` words."""
+    """Wu-Manber tables for the distinct patterns of `length` words, as arrays.
+
+    shift: of each slot of block hashes. Of each pattern, in order of the block it ends in and then of
+    its hash: suffix, that block's hash; whole, the pattern's; first, its first word among those of
+    the items; held[i]:held[i + 1], its part of holders, the numbers of the items that have it."""
 
     length: int
     block: int
     shift: np.ndarray
-    suffix: np.ndarray  # sorted block hashes of pattern ends
-    last: np.ndarray  # of each entry of suffix: the hash of the whole pattern
-    pattern: np.ndarray  # of each entry of suffix: its pattern
-    text: list[tuple[bytes, ...]]
-    items: list[list]
+    suffix: np.ndarray
+    whole: np.ndarray
+    first: np.ndarray
+    held: np.ndarray
+    holders: np.ndarray
 
     def slot(self, blocks: np.ndarray) -> np.ndarray:
         return (blocks & U64(len(self.shift) - 1)).astype(np.int64)
 
 
+@dataclass(frozen=True)
+class Tables:
+    """Items (ids as strings, and their words in lower case, as one buffer) and the tables for them."""
+
+    items: list[str]
+    buf: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    tables: list[Table]
+
+    def same(self, first: int, w: K.Words, at: int, size: int) -> bool:
+        """Whether `size` words of the items from `first` on are those of w from `at` on."""
+        a, b = self.start[first : first + size], w.start[at : at + size]
+        lengths = self.end[first : first + size] - a
+        if (lengths != w.end[at : at + size] - b).any():
+            return False
+        return all(
+            self.buf[x : x + n].tobytes() == _lower(w.buf[y : y + n]).tobytes()
+            for x, y, n in zip(a.tolist(), b.tolist(), lengths.tolist())
+        )
+
+
+def _lower(text: np.ndarray) -> np.ndarray:
+    return np.where((text >= ord("A")) & (text <= ord("Z")), text + np.uint8(32), text)
+
+
 def _blocks(hashes: np.ndarray, size: int) -> np.ndarray:
     """The hash of the block of `size` words that ends at each word; the first size - 1 are unused."""
     out = hashes.copy()
@@ -63,40 +89,47 @@ def _blocks(hashes: np.ndarray, size: int) -> np.ndarray:
     return K.mix(out)
 
 
-def build_tables(items: list[tuple], window: int = WINDOW, block: int = BLOCK) -> list[Table]:
-    """One table for each pattern length that occurs among (item id, text) pairs."""
-    patterns: dict[int, dict[tuple[bytes, ...], list]] = {}
-    sources: dict[int, dict[tuple[bytes, ...], tuple[np.ndarray, np.ndarray]]] = {}
-    for item, text in items:
-        w = K.words(*K.string_buffer(pa.array([text], pa.large_string())), K.ALNUM)
-        n = len(w.hash)
-        size = min(n, window)
-        for at in range(n - size + 1 if n else 0):
-            words = _bytes_of(w, at, size)
-            holders = patterns.setdefault(size, {}).setdefault(words, [])
-            if item not in holders:
-                holders.append(item)
-            sources.setdefault(size, {})[words] = w.hash[at : at + size]
+def _whole(hashes: np.ndarray, first: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
+    """The hash of the `size` words from each of the places on."""
+    out = np.zeros(len(first), U64)
+    for j in range(size):
+        out += K.mix(hashes[first + j] * U64(2 * (j + salt) + 1))
+    return out
+
+
+def build_tables(items: list[tuple], window: int = WINDOW, block: int = BLOCK) -> Tables:
+    """The tables for (item id, text) pairs, one for each pattern length that occurs."""
+    w = K.words(*K.string_buffer(pa.array([t for _, t in items], pa.large_string())), K.ALNUM)
+    counts = np.diff(w.offsets)
     tables = []
-    for size, found in sorted(patterns.items()):
+    for size in np.unique(np.minimum(counts[counts > 0], window)).tolist():
+        mine = np.flatnonzero(counts >= window if size == window else counts == size)
+        places = counts[mine] - size + 1
+        item = np.repeat(mine, places)
+        first = np.repeat(w.offsets[mine], places) + np.arange(places.sum()) - np.repeat(np.cumsum(places) - places, places)
+        whole, other = _whole(w.hash, first, size), _whole(w.hash, first, size, window)
         b = min(block, size)
-        texts = list(found)
-        hashes = np.stack([sources[size][t] for t in texts])
-        slots = 1 << max(12, (len(texts) * size * 4 - 1).bit_length())
-        table = Table(size, b, np.full(slots, size - b + 1, np.int32), None, None, None, texts, list(found.values()))
-        blocks = np.stack([_blocks(row, b) for row in hashes])
+        blocks = _blocks(w.hash, b)
+        # equal patterns are one, which all items that have it hold
+        order = np.lexsort((item, other, whole, blocks[first + size - 1]))
+        item, first, whole, other = item[order], first[order], whole[order], other[order]
+        new = np.ones(len(item), bool)
+        new[1:] = (whole[1:] != whole[:-1]) | (other[1:] != other[:-1])
+        holds = new.copy()
+        holds[1:] |= item[1:] != item[:-1]
+        pattern = np.cumsum(new) - 1
+        held = np.searchsorted(pattern[holds], np.arange(pattern[-1] + 2))
+        first, whole = first[new], whole[new]
+        slots = 1 << max(12, (8 * len(w.hash) - 1).bit_length())
+        shift = np.full(slots, min(size - b + 1, 255), np.uint8)
+        table = Table(size, b, shift, blocks[first + size - 1], whole, first, held, item[holds].astype(np.int32))
         for j in range(b - 1, size):
-            np.minimum.at(table.shift, table.slot(blocks[:, j]), size - 1 - j)
-        ends = blocks[:, -1]
-        order = np.argsort(ends, kind="stable")
-        table.suffix, table.pattern = ends[order], order
-        table.last = K.segment_sum((K.mix(hashes * (np.arange(size, dtype=U64) * U64(2) + U64(1)))).ravel(),
-                                   np.arange(0, len(texts) * size + 1, size))[order]
+            np.minimum.at(shift, table.slot(blocks[first + j]), min(size - 1 - j, 255))
         tables.append(table)
-    return tables
+    return Tables([i for i, _ in items], _lower(w.buf), w.start, w.end, tables)
 
 
-def search(table: Table, w: K.Words) -> list[tuple[int, int]]:
+def search(known: Tables, table: Table, w: K.Words) -> list[tuple[int, int]]:
     """(position of the first word, pattern) of every occurrence within the texts of w."""
     m, n = table.length, len(w.hash)
     if n < m:
@@ -112,33 +145,23 @@ def search(table: Table, w: K.Words) -> list[tuple[int, int]]:
         zero = cursor[shift == 0]
         if len(zero):
             lo = np.searchsorted(table.suffix, blocks[zero])
-            known = (lo < len(table.suffix)) & (table.suffix[np.minimum(lo, len(table.suffix) - 1)] == blocks[zero])
-            for at in zero[known].tolist():
-                hits.append(at - m + 1)
+            hits.append(zero[table.suffix[np.minimum(lo, len(table.suffix) - 1)] == blocks[zero]] - m + 1)
         cursor = cursor + np.maximum(shift, 1)
         on = cursor < stop
         cursor, stop = cursor[on], stop[on]
-    if not hits:
-        return []
-    first = np.array(sorted(hits))
+    first = np.sort(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
     doc = np.searchsorted(w.offsets, first, side="right") - 1
     first = first[first + m <= w.offsets[doc + 1]]  # not across two texts
-    if not len(first):
-        return []
-    weight = np.arange(m, dtype=U64) * U64(2) + U64(1)
-    whole = K.mix(w.hash[first[:, None] + np.arange(m)] * weight)
-    whole = K.segment_sum(whole.ravel(), np.arange(0, len(first) * m + 1, m))
-    out = []
-    ends = blocks[first + m - 1]
+    ends, whole = blocks[first + m - 1], _whole(w.hash, first, m)
     lo, hi = np.searchsorted(table.suffix, ends), np.searchsorted(table.suffix, ends, side="right")
-    for k, at in enumerate(first.tolist()):
-        words = None
-        for entry in range(lo[k], hi[k]):
-            if table.last[entry] == whole[k]:
-                words = words or _bytes_of(w, at, m)
-                pattern = int(table.pattern[entry])
-                if words == table.text[pattern]:
-                    out.append((at, pattern))
+    out = []
+    for at, a, b, h in zip(first.tolist(), lo.tolist(), hi.tolist(), whole):
+        # the patterns of a bucket are in order of their hashes
+        entry = a + int(np.searchsorted(table.whole[a:b], h))
+        while entry < b and table.whole[entry] == h:
+            if known.same(int(table.first[entry]), w, at, m):
+                out.append((at, entry))
+            entry += 1
     return out
 
 
@@ -149,7 +172,7 @@ def _scan(table_set, only_hits: bool):
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches):
-        tables = table_set.value
+        known = table_set.value
         for batch in batches:
             ids = batch.column(0)
             buf, offsets = K.string_buffer(batch.column(1))
@@ -157,19 +180,19 @@ def _scan(table_set, only_hits: bool):
                 w = K.words(buf, offsets[lo : hi + 1], K.ALNUM)
                 spans: dict[int, list] = {}
                 items: dict[int, set] = {}
-                for table in tables:
-                    for at, pattern in search(table, w):
+                for table in known.tables:
+                    for at, pattern in search(known, table, w):
                         doc = int(np.searchsorted(w.offsets, at, side="right")) - 1
                         start = at - int(w.offsets[doc])
                         spans.setdefault(doc, []).append((start, start + table.length))
-                        items.setdefault(doc, set()).update(table.items[pattern])
+                        items.setdefault(doc, set()).update(table.holders[table.held[pattern] : table.held[pattern + 1]].tolist())
                 rows = sorted(spans) if only_hits else range(hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array([lo + i for i in rows], pa.int64())),
                         pa.array(np.diff(w.offsets)[list(rows)] if only_hits else np.diff(w.offsets), pa.int64()),
                         pa.array([_union(spans.get(i, [])) for i in rows], spans_type),
-                        pa.array([sorted(items.get(i, ())) for i in rows], pa.list_(pa.string())),
+                        pa.array([sorted({known.items[k] for k in items.get(i, ())}) for i in rows], pa.list_(pa.string())),
                     ],
                     ["id", "n_words", "spans", "items"],
                 )
@@ -319,8 +342,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
                 clean = np.ones(len(offsets) - 1, bool)
                 for lo, hi in K.chunks(offsets):
                     w = K.words(buf, offsets[lo : hi + 1], K.ALNUM)
-                    for table in table_set.value:
-                        for place, _ in search(table, w):
+                    for table in table_set.value.tables:
+                        for place, _ in search(table_set.value, table, w):
                             clean[lo + int(np.searchsorted(w.offsets, place, side="right")) - 1] = False
                 yield batch.filter(pa.array(clean))
 

@@ -65,10 +65,6 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
         return np.cumprod(up), np.cumprod(down)
 
 
-def _room(n: int) -> int:
-    return CHUNK_BYTES + 1 if n <= CHUNK_BYTES + 1 else 1 << (n - 1).bit_length()
-
-
 def string_buffer(texts) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and the n + 1 offsets of an Arrow string column; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -98,48 +94,66 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES, rows: int = CHUNK_ROWS
 
 @dataclass
 class Words:
-    """start, end: byte positions in buf; hash: 64 bits; offsets: of each document's words; sums:
-    of the polynomial, from which any part of a word has its hash."""
+    """start, end: byte positions in buf; hash: 64 bits; offsets: of each document's words; value: of
+    bytes in the polynomial."""
 
     buf: np.ndarray
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
     offsets: np.ndarray
-    sums: np.ndarray
+    value: np.ndarray
 
     def heads(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(words of at least size bytes, hashes of their first size bytes)."""
         long_ = np.flatnonzero(self.end - self.start >= size)
         start = self.start[long_]
-        return long_, mix((self.sums[start + size] - self.sums[start]) * _powers(_room(len(self.sums)))[1][start])
+        total = np.zeros(len(start), U64)
+        for j in range(size):
+            total += self.value[self.buf[start + j]] * U64(pow(_ODD, j, 1 << 64))
+        return long_, mix(total)
 
 
-def words(buf: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Words:
-    """All words of the texts buf[offsets[i]:offsets[i + 1]]; words never cross texts."""
+def words(buf: np.ndarray, offsets: np.ndarray, alphabet: Alphabet, piece: int = CHUNK_BYTES) -> Words:
+    """All words of the texts buf[offsets[i]:offsets[i + 1]]; words never cross texts.
+
+    The bytes are gone through in pieces, so that a long text needs memory for its words, not for
+    several numbers per byte; a word may lie across pieces."""
     base = int(offsets[0])
     part, local = buf[base : int(offsets[-1])], offsets - base
-    n = len(part)
-    if n == 0:
+    up, down = _powers(piece)
+    starts, ends, first_sums, last_sums, shifts = [], [], [], [], []
+    before, total, size = False, U64(0), len(part)
+    for p in range(0, size, piece):
+        n = min(piece, size - p)
+        inside = np.zeros(n + 1, bool)
+        ahead = alphabet.word[part[p : p + n + 1]]
+        inside[: len(ahead)] = ahead  # with the byte after the piece
+        border = np.zeros(n + 1, bool)
+        a, b = np.searchsorted(local, [p, p + n + 1])
+        border[local[a:b] - p] = True
+        opens = inside[:n].copy()
+        opens[1:] &= ~inside[: n - 1] | border[1:n]
+        opens[0] &= not before or border[0]
+        closes = inside[:n] & (~inside[1:] | border[1:])
+        sums = np.empty(n + 1, U64)
+        sums[0] = 0
+        np.cumsum(alphabet.value[part[p : p + n]] * up[:n], out=sums[1:])
+        sums *= U64(pow(_ODD, p, 1 << 64))
+        sums += total
+        opens, closes = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+        starts.append(opens + p)
+        ends.append(closes + p)
+        first_sums.append(sums[opens])
+        last_sums.append(sums[closes])
+        shifts.append(down[opens] * U64(pow(_ODD_INVERSE, p, 1 << 64)))
+        before, total = bool(inside[n - 1]), sums[n]
+    if not starts:
         none = np.zeros(0, np.int64)
-        return Words(part, none, none, np.zeros(0, U64), np.zeros(len(offsets), np.int64), np.zeros(1, U64))
-    inside = alphabet.word[part]
-    border = np.zeros(n + 1, bool)
-    border[local] = True
-    outside_before = np.empty(n, bool)
-    outside_before[0] = True
-    np.logical_not(inside[:-1], out=outside_before[1:])
-    start = np.flatnonzero(inside & (outside_before | border[:-1]))
-    outside_after = np.empty(n, bool)
-    outside_after[-1] = True
-    np.logical_not(inside[1:], out=outside_after[:-1])
-    end = np.flatnonzero(inside & (outside_after | border[1:])) + 1
-    up, down = _powers(_room(n + 1))
-    sums = np.empty(n + 1, U64)
-    sums[0] = 0
-    np.cumsum(alphabet.value[part] * up[:n], out=sums[1:])
-    hashes = mix((sums[end] - sums[start]) * down[start])
-    return Words(part, start, end, hashes, np.searchsorted(start, local).astype(np.int64), sums)
+        return Words(part, none, none, np.zeros(0, U64), np.zeros(len(offsets), np.int64), alphabet.value)
+    start, end = np.concatenate(starts), np.concatenate(ends)
+    hashes = mix((np.concatenate(last_sums) - np.concatenate(first_sums)) * np.concatenate(shifts))
+    return Words(part, start, end, hashes, np.searchsorted(start, local).astype(np.int64), alphabet.value)
 
 
 def shingle_hashes(w: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,8 @@
 import os
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from contactmill.llm import queries
@@ -60,3 +62,58 @@ def test_url_edges(spark):
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == cases[r["url"]], r
     assert uf.judge(pages, rules.limit(0)).where("verdict = 'allow'").count() == len(cases) + 1
     assert uf.judge(pages.limit(0), rules).count() == 0
+
+
+def test_tables_are_small():
+    """A set of tables takes some bytes for each of the benchmark, and a prefix of all items costs no more."""
+    import pickle
+    import random
+
+    from contactmill.llm import decontaminate as dc
+
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(20_000)]
+    prefix = " ".join(rng.choices(words, k=60))
+    items = [(str(i), prefix + " " + " ".join(rng.choices(words, k=100))) for i in range(1_500)]
+    size = sum(len(t) for _, t in items)
+    tables = dc.build_tables(items)
+    assert size > 1_000_000 and len(pickle.dumps(tables)) < 20 * size
+    prefixes = [t for t in tables.tables if t.length == 10][0]
+    assert np.diff(prefixes.held).max() == 1_500 and len(prefixes.first) < 1_500 * 110
+
+
+def test_search_against_plain_one():
+    from contactmill.llm import decontaminate as dc
+    from contactmill.llm import textkernel as K
+
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        texts = [" ".join(rng.choice(["a", "B", "c", "ä"], rng.integers(0, 30))) for _ in range(12)]
+        items = [(str(i), t) for i, t in enumerate(texts[:5])]
+        known = dc.build_tables(items, window=3)
+        w = K.words(*K.string_buffer(pa.array(texts)), K.ALNUM)
+        got = set()
+        for table in known.tables:
+            for at, pattern in dc.search(known, table, w):
+                got |= {(at, table.length, int(i)) for i in table.holders[table.held[pattern] : table.held[pattern + 1]]}
+        want, split = set(), [t.lower().split() for t in texts]
+        for i, ws in enumerate(split[:5]):
+            m = min(3, len(ws))
+            for p in range(len(ws) - m + 1 if m else 0):
+                for d, other in enumerate(split):
+                    want |= {(int(w.offsets[d]) + q, m, i) for q in range(len(other) - m + 1) if other[q : q + m] == ws[p : p + m]}
+        assert got == want
+
+
+def test_words_across_pieces():
+    """Pieces of any size give the same words and hashes."""
+    from contactmill.llm import textkernel as K
+
+    texts = ["one two  three", "", "x" * 50 + " y\tz", None, "ä b", " ", "end"]
+    buf, offsets = K.string_buffer(pa.array(texts))
+    whole = K.words(buf, offsets, K.NONSPACE)
+    assert len(whole.hash) == 9
+    for piece in (1, 2, 3, 7, 1000):
+        cut = K.words(buf, offsets, K.NONSPACE, piece)
+        for name in ("start", "end", "hash", "offsets"):
+            assert getattr(cut, name).tolist() == getattr(whole, name).tolist()
