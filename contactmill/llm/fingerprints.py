@@ -27,6 +27,8 @@ SHINGLE = 5
 #: larger instead. A range is sorted by Spark, which spills, and read in slices.
 RANGE_BYTES = 64 << 20
 MOST_RANGES = 20_000
+#: Places where the parts of a key meet before they are one.
+SALTS = 32
 _LOWEST = -(2**63)
 
 
@@ -98,6 +100,48 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return source.mapInArrow(run, f"id {kind}, fingerprint string").withColumnRenamed("id", id_col)
 
 
+def _merged(batches):
+    """Rows (key, fingerprint), those of a key one behind the other -> one row for each run."""
+    now, held = None, None
+    for batch in batches:
+        keys, prints = [], []
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            values, k = decode(text)
+            if held is None or key != now:
+                if held is not None:
+                    keys.append(now)
+                    prints.append(encode(*held))
+                now, held = key, (values, k)
+            else:
+                k = min(k, held[1])
+                held = merge(held[0], values, k), k
+        yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema[0].type), pa.array(prints, pa.string())], ["key", "print"])
+        last = batch.schema[0].type
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([now], last), pa.array([encode(*held)], pa.string())], ["key", "print"])
+
+
+def merge_fingerprints(
+    prints: DataFrame, key_col: str = "doc_id", fingerprint_col: str = "fingerprint", salts: int = SALTS
+) -> DataFrame:
+    """(key, fingerprint): for each key the fingerprint of all its parts together.
+
+    Parts are merged where they are, then in `salts` places for each key, then per key, so that a key
+    with very many parts is never in one task; tasks hold one sketch at a time. Parts of unlike sizes
+    k merge to the least of them. A null fingerprint is passed over, a null key is a key like others.
+    Repeated rows change nothing; extra columns are ignored; an empty table gives an empty result.
+    """
+    bounded_batches(prints.sparkSession)
+    rows = prints.select(F.col(key_col).alias("key"), F.col(fingerprint_col).alias("print")).where("print is not null")
+    schema = f"key {rows.schema['key'].dataType.simpleString()}, print string"
+    rows = rows.sortWithinPartitions("key").mapInArrow(_merged, schema)
+    salt = F.pmod(F.xxhash64("print"), F.lit(salts)).alias("salt")
+    rows = rows.select("key", "print", salt)
+    rows = rows.repartition("key", "salt").sortWithinPartitions("key").select("key", "print").mapInArrow(_merged, schema)
+    rows = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_merged, schema)
+    return rows.select(F.col("key").alias(key_col), F.col("print").alias(fingerprint_col))
+
+
 def edited(text: str, following: str) -> str:
     """text with its last floor(n / 3) code points replaced by the first as many of the following."""
     cut = len(text) // 3

@@ -69,3 +69,29 @@ def test_sketches_merge_and_estimate():
     assert fp.containment(sa, sb, k) > 0.9
     values, size = fp.decode(fp.encode(sa, k))
     assert size == k and (values == sa).all()
+
+
+def test_parts_merge_to_the_whole(spark):
+    """Sketches of the parts of shingle sets, merged in any dealing, are those of the whole sets."""
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for key in (None, 1, 2, 3):
+        whole = np.unique(rng.integers(0, 2**64, 3000 if key == 1 else 40, dtype=np.uint64))
+        want[key] = fp.encode(whole[:64], 64)
+        for _ in range(200 if key == 1 else 3):
+            rows.append((key, fp.encode(np.sort(rng.choice(whole, 30, False))[:64], 64), "x"))
+        rows += [(key, fp.encode(part[:64], 64), "y") for part in np.array_split(whole, 5)]
+    rows += [(2, None, "z"), (3, "64:", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string, salt string").repartition(5)
+    got = {r["doc_id"]: r["fingerprint"] for r in fp.merge_fingerprints(df).collect()}
+    assert got == want and fp.merge_fingerprints(df.limit(0)).count() == 0
+
+
+def test_a_long_text_in_pieces():
+    """Words of a text of several pieces, one of them longer than a piece."""
+    import pyarrow as pa
+
+    text = " ".join(["ab" * 700_000, *(f"w{i}" for i in range(300_000))])
+    (sketch,) = fp.sketches(pa.array([text]))
+    tail = fp.sketches(pa.array([" ".join(text.split()[1:])]))[0]
+    assert len(sketch) == 256 and fp.resemblance(sketch, tail, 256) > 0.99
