@@ -6,7 +6,6 @@ import codecs
 import csv
 import glob
 import os
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,12 +19,6 @@ FILE_STRIDE = 1 << 40
 KINDS = {"email": "unbrauchbare E-Mail", "phone": "unbrauchbare Telefonnummer", "created": "nicht lesbares Datum"}
 
 
-@dataclass
-class Loaded:
-    records: DataFrame
-    paths: list[str]
-
-
 def expand_inputs(patterns: list[str]) -> list[str]:
     """Existing paths as they are, else wildcards; sorted, each file once however it is spelled."""
     paths: dict[str, str] = {}
@@ -123,35 +116,36 @@ def with_uids(rows: DataFrame) -> DataFrame:
     )
 
 
-def _values(columns: tuple[str, str], normal) -> tuple[Column, Column]:
-    """(the values that are given, their normal forms without repeats)."""
-    given = F.filter(F.array(*columns), lambda v: v != "")
-    return given, F.array_distinct(F.filter(F.array(*[normal(F.col(c)) for c in columns]), lambda v: v != ""))
-
-
 def to_records(rows: DataFrame, config: Config) -> DataFrame:
     """Raw rows (canonical fields, uid, source, row, index) -> records."""
-    rows = rows.withColumn("created_iso", T.iso_date(F.col("created")))
-    raw_emails, emails = _values(("email", "email_2"), T.normalize_email)
-    raw_phones, phones = _values(("phone", "phone_2"), lambda c: T.normalize_phone(c, config.country_code))
     name = F.when(F.col("name") != "", F.col("name")).otherwise(T.clean_text(F.concat_ws(" ", "first_name", "last_name")))
+    normal = {
+        "email": T.normalize_email(F.col("email")),
+        "email_2": T.normalize_email(F.col("email_2")),
+        "phone": T.normalize_phone(F.col("phone"), config.country_code),
+        "phone_2": T.normalize_phone(F.col("phone_2"), config.country_code),
+        "created": T.iso_date(F.col("created")),
+    }
+    # each normal form is a column, that values and complaints refer to
+    rows = rows.withColumns({"name": T.normalize_name(name)} | {f"normal_{c}": form for c, form in normal.items()})
+
+    def given(*columns: str) -> Column:
+        return F.filter(F.array(*columns), lambda v: v != "")
+
+    def bad(column: str) -> Column:
+        kind = KINDS[column.removesuffix("_2")]
+        text = F.concat(F.lit(kind + " "), T.quoted(F.col(column)))
+        what = F.struct(F.lit(kind).alias("kind"), F.col(column).alias("value"), text.alias("text"))
+        return F.when((F.col(column) != "") & (F.col(f"normal_{column}") == ""), what)
 
-    def bad(column: str, normal: Column, kind: str) -> Column:
-        text = F.concat(F.lit(KINDS[kind] + " "), T.quoted(F.col(column)))
-        what = F.struct(F.lit(KINDS[kind]).alias("kind"), F.col(column).alias("value"), text.alias("text"))
-        return F.when((F.col(column) != "") & (normal == ""), what)
-
-    unusable = F.array_compact(F.array(
-        bad("email", T.normalize_email(F.col("email")), "email"),
-        bad("email_2", T.normalize_email(F.col("email_2")), "email"),
-        bad("phone", T.normalize_phone(F.col("phone"), config.country_code), "phone"),
-        bad("phone_2", T.normalize_phone(F.col("phone_2"), config.country_code), "phone"),
-        bad("created", F.col("created_iso"), "created"),
-    ))
     return rows.select(
-        "uid", "source", "row", "index", T.normalize_name(name).alias("name"), "company", "city",
-        F.col("created_iso").alias("created"), emails.alias("emails"), phones.alias("phones"),
-        raw_emails.alias("raw_emails"), raw_phones.alias("raw_phones"), unusable.alias("unusable"),
+        "uid", "source", "row", "index", "name", "company", "city",
+        F.col("normal_created").alias("created"),
+        F.array_distinct(given("normal_email", "normal_email_2")).alias("emails"),
+        F.array_distinct(given("normal_phone", "normal_phone_2")).alias("phones"),
+        given("email", "email_2").alias("raw_emails"),
+        given("phone", "phone_2").alias("raw_phones"),
+        F.array_compact(F.array(*map(bad, normal))).alias("unusable"),
         *[c for c in ("file", "duplicate") if c in rows.columns],
     )
 
