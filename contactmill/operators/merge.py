@@ -40,54 +40,83 @@ def completeness():
     return sum(filled[1:], filled[0]) + F.size("emails") + F.size("phones")
 
 
-_MEMBER = ("index", "uid", "source", "name", "company", "city", "created", "emails", "phones", "unusable", "flags")
+def with_place(grouped: DataFrame) -> DataFrame:
+    """Adds place, by which the records of a component are ranked: the most complete one first, the
+    earlier one on a tie."""
+    return grouped.withColumn("place", F.struct((-completeness()).alias("rank"), "index"))
 
 
 def merge_contacts(grouped: DataFrame) -> DataFrame:
-    """One contact for each component; the most complete record leads, the earlier one on a tie.
+    """One contact for each component.
 
-    The members of a component are held together, as their order decides. Groups stay small where
-    keys are personal; a mailbox shared by very many people makes one contact of them all.
+    Single fields come from minima by place, lists from the first place of each distinct value, all
+    by partial aggregation: of a component with very many members no task holds more than what its
+    contact says of them. Nulls do not occur in records; a component is never empty.
     """
-    rank = (-completeness()).alias("rank")
-    contacts = grouped.groupBy("component").agg(
-        F.array_sort(F.collect_list(F.struct(rank, *_MEMBER))).alias("members")
+    rows = with_place(grouped)
+    given = F.col("name") != ""
+
+    def first(column: str, holds=None):
+        holds = F.col(column) != "" if holds is None else holds
+        return F.min_by(column, F.when(holds, F.col("place")))
+
+    spelled = given & ~F.col("name").rlike(r"[\p{L}\p{N}_]\.")
+    single = rows.groupBy("component").agg(
+        F.min_by("uid", "place").alias("id"),
+        F.min_by("index", "place").alias("leader_index"),
+        F.coalesce(first("name", spelled), first("name"), F.lit("")).alias("name"),
+        F.coalesce(first("company"), F.lit("")).alias("company"),
+        F.coalesce(first("city"), F.lit("")).alias("city"),
+        F.coalesce(F.min(F.when(F.col("created") != "", F.col("created"))), F.lit("")).alias("created"),
+        F.array_sort(F.collect_set("source")).alias("sources"),
+        F.array_sort(F.collect_list(F.struct("place", "uid"))).alias("ranked"),
+        F.count("*").cast("int").alias("n_members"),
     )
-    members = F.col("members")
-    names = F.filter(F.transform(members, lambda m: m["name"]), lambda n: n != "")
-    spelled = F.filter(names, lambda n: ~n.rlike(r"[\p{L}\p{N}_]\."))
 
-    def first_of(field: str):
-        return F.coalesce(F.get(F.filter(F.transform(members, lambda m: m[field]), lambda v: v != ""), F.lit(0)), F.lit(""))
-
-    def union_of(field: str):
-        return F.array_distinct(F.flatten(F.transform(members, lambda m: m[field])))
-
-    contacts = contacts.withColumn(
-        "name", F.coalesce(F.get(spelled, F.lit(0)), F.get(names, F.lit(0)), F.lit(""))
+    def item(kind: str, text, at, code=None, each=None):
+        """each: tells apart values that count every time."""
+        return F.struct(
+            F.lit(kind).alias("kind"), text.alias("text"), (code if code is not None else F.lit("")).alias("code"),
+            (each if each is not None else F.lit("")).alias("each"), at.alias("at"),
+        )
+
+    noted = F.transform(
+        "unusable",
+        lambda u, i: item(
+            "note", F.concat(u["text"], F.lit(" ("), F.col("uid"), F.lit(")")), i, each=F.concat("uid", F.lit(" "), i.cast("string"))
+        ),
     )
-    others = F.array_distinct(F.filter(names, lambda n: T.casefold(n) != T.casefold(F.col("name"))))
-    unusable = F.flatten(
-        F.transform(members, lambda m: F.transform(m["unusable"], lambda u: F.concat(u["text"], F.lit(" ("), m["uid"], F.lit(")"))))
+    items = F.concat(
+        F.transform("emails", lambda v, i: item("email", v, i)),
+        F.transform("phones", lambda v, i: item("phone", v, i)),
+        F.transform("flags", lambda f, i: item("flag", f["text"], i, f["code"])),
+        F.filter(F.array(item("name", F.col("name"), F.lit(0))), lambda x: x["text"] != ""),
+        noted,
     )
-    created = F.array_min(F.filter(F.transform(members, lambda m: m["created"]), lambda v: v != ""))
-    return contacts.select(
-        "component",
-        F.get(members, F.lit(0))["uid"].alias("id"),
-        F.get(members, F.lit(0))["index"].alias("leader_index"),
-        "name",
-        first_of("company").alias("company"),
-        first_of("city").alias("city"),
-        F.coalesce(created, F.lit("")).alias("created"),
-        union_of("emails").alias("emails"),
-        union_of("phones").alias("phones"),
-        F.concat(F.transform(others, lambda n: F.concat(F.lit("auch erfasst als: "), n)), unusable).alias("notes"),
-        union_of("flags").alias("flags"),
-        F.transform(F.slice(members, 2, F.size(members)), lambda m: m["uid"]).alias("merged_from"),
-        F.array_sort(F.array_distinct(F.transform(members, lambda m: m["source"]))).alias("sources"),
-        F.size(members).alias("n_members"),
-        "members",
+    values = rows.select("component", "place", F.explode(items).alias("x"))
+    values = values.groupBy("component", "x.kind", "x.text", "x.code", "x.each").agg(
+        F.min(F.struct("place", "x.at")).alias("first")
     )
+    kinds = ("email", "phone", "flag", "name", "note")
+    listed = values.groupBy("component").agg(*[
+        F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.struct("first", "text", "code")))).alias(f"of_{k}") for k in kinds
+    ])
+    contacts = single.join(listed, "component", "left")
+    contacts = contacts.withColumns({f"of_{k}": F.coalesce(f"of_{k}", F.array().cast(listed.schema[f"of_{k}"].dataType)) for k in kinds})
+
+    def texts(kind: str):
+        return F.transform(f"of_{kind}", lambda v: v["text"])
+
+    others = F.filter(texts("name"), lambda n: T.casefold(n) != T.casefold(F.col("name")))
+    return contacts.select(
+        "component", "id", "leader_index", "name", "company", "city", "created",
+        texts("email").alias("emails"),
+        texts("phone").alias("phones"),
+        F.concat(F.transform(others, lambda n: F.concat(F.lit("auch erfasst als: "), n)), texts("note")).alias("notes"),
+        F.transform("of_flag", lambda v: F.struct(v["code"].alias("code"), v["text"].alias("text"))).alias("flags"),
+        F.transform(F.slice("ranked", 2, F.size("ranked")), lambda m: m["uid"]).alias("merged_from"),
+        "sources", "n_members",
+    )
 
 
 def clean_rows(contacts: DataFrame) -> DataFrame:

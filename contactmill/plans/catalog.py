@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from contactmill.functions import text as T
 from contactmill.operators import integrity, merge, rules
 from contactmill.plans import contacts as C
+from contactmill.session import materialise
 from contactmill.sources import csv as source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -406,7 +407,7 @@ def _tables(spark, sf_dir):
     """(records, clean rows, excluded rows) of the contacts."""
     records = C.records(spark, sf_dir)
     kept, out = records.where(F.size("reasons") == 0), records.where(F.size("reasons") > 0)
-    clean, _ = C.materialise(merge.clean_rows(merge.merge_contacts(merge.with_components(kept))), "clean")
+    clean, _ = materialise(merge.clean_rows(merge.merge_contacts(merge.with_components(kept))), "clean")
     return records, clean, merge.excluded_rows(out)
 
 
@@ -499,13 +500,6 @@ def check_accounting(spark, sf_dir):
     return integrity.accounted_ids(clean, excluded)
 
 
-@query("SELECT 0::BIGINT AS lost, 0::BIGINT AS different_ids")
-def check_lost_keys(spark, sf_dir):
-    records, clean, excluded = _tables(spark, sf_dir)
-    lost = integrity.lost_keys(records, clean, excluded).agg(F.count("*").alias("lost"))
-    return lost.crossJoin(integrity.id_differences(records, clean, excluded).agg(F.count("*").alias("different_ids")))
-
-
 @query(
     f"""{_CONTACTS} SELECT 'E-Mail' AS kind, email AS value FROM kept WHERE email <> '' GROUP BY 2
     UNION ALL SELECT 'Telefonnummer', phone FROM kept WHERE phone <> '' GROUP BY 2 UNION ALL SELECT 'ID', id FROM clean"""
@@ -519,7 +513,79 @@ def check_unique(spark, sf_dir):
     return keys.join(integrity.repeated_keys(clean).select("kind", "value"), ["kind", "value"], "left_anti")
 
 
-@query("SELECT 0::BIGINT AS bad")
+# ------------------------------------------------- checks of spoiled outputs
+
+
+def _spoiled(spark, sf_dir):
+    """(records, clean rows with the leader's index, excluded rows) for queries that spoil them."""
+    records = C.records(spark, sf_dir)
+    kept, out = records.where(F.size("reasons") == 0), records.where(F.size("reasons") > 0)
+    contacts, _ = materialise(merge.merge_contacts(merge.with_components(kept)), "contacts")
+    clean = merge.clean_rows(contacts).join(contacts.select("component", "leader_index"), "component")
+    return records, clean, merge.excluded_rows(out)
+
+
+_LEFT = "SELECT component FROM clean WHERE leader_index % 7 <> 0"
+
+
+@query(
+    f"""{_CONTACTS}, want AS (SELECT 'email' AS kind, email AS value FROM t WHERE email <> '' UNION SELECT 'phone', phone FROM t WHERE phone <> ''
+    ), have AS (
+      SELECT 'email' AS kind, email AS value FROM m WHERE component IN ({_LEFT}) UNION SELECT 'phone', phone FROM m WHERE component IN ({_LEFT})
+      UNION SELECT 'email', email_normalized FROM excluded WHERE k % 3 <> 0 UNION SELECT 'phone', phone_normalized FROM excluded WHERE k % 3 <> 0
+    ) SELECT kind, value FROM want EXCEPT SELECT kind, value FROM have"""
+)
+def check_lost_keys(spark, sf_dir):
+    """Addresses and numbers that are lost when some contacts and excluded rows are taken away."""
+    records, clean, excluded = _spoiled(spark, sf_dir)
+    return integrity.lost_keys(records, clean.where("leader_index % 7 <> 0"), excluded.where("index % 3 <> 0"))
+
+
+@query(
+    f"""{_CONTACTS}, have AS (
+      SELECT uid AS id, CASE WHEN l.leader_index % 7 = 0 THEN 0 WHEN l.leader_index % 11 = 0 THEN 2 ELSE 1 END AS times
+      FROM m JOIN clean l ON l.component = m.component UNION ALL SELECT id, 1 FROM excluded
+    ) SELECT id, (times - 1)::BIGINT AS times FROM have WHERE times <> 1"""
+)
+def check_ids(spark, sf_dir):
+    """Ids that are missing or counted twice when contacts are taken away and others repeated."""
+    records, clean, excluded = _spoiled(spark, sf_dir)
+    left = clean.where("leader_index % 7 <> 0")
+    spoiled = left.union(left.where("leader_index % 11 = 0"))
+    return integrity.id_differences(records, spoiled, excluded)
+
+
+@query(
+    f"""{_CONTACTS} SELECT 'E-Mail' AS kind, upper(email) AS value FROM clean WHERE leader_index % 5 = 1 AND email <> ''
+    UNION ALL SELECT 'Telefonnummer', '0' || substr(phone, 4) FROM clean WHERE leader_index % 5 = 2 AND phone <> ''
+    UNION ALL SELECT 'Datum', '1.1.2024' FROM clean WHERE leader_index % 5 = 3
+    UNION ALL SELECT 'suspect', 'no' FROM clean WHERE leader_index % 5 = 4
+    UNION ALL SELECT 'ID', ' ' || id FROM clean WHERE leader_index % 13 = 0"""
+)
 def check_formats(spark, sf_dir):
-    _, clean, _ = _tables(spark, sf_dir)
-    return integrity.bad_formats(clean).agg(F.count("*").alias("bad"))
+    """Values that are not in their form when some of each kind are spoiled."""
+    _, clean, _ = _spoiled(spark, sf_dir)
+
+    def spoil(column: str, rest: int, value):
+        return F.when((F.col("leader_index") % 5 == rest) & (F.col(column) != ""), value).otherwise(F.col(column))
+
+    spoiled = clean.withColumns({
+        "email": spoil("email", 1, F.upper("email")),
+        "phone": spoil("phone", 2, F.concat(F.lit("0"), F.substr("phone", F.lit(4)))),
+        "created": F.when(F.col("leader_index") % 5 == 3, "1.1.2024").otherwise(F.col("created")),
+        "suspect": F.when(F.col("leader_index") % 5 == 4, "no").otherwise(F.col("suspect")),
+        "id": F.when(F.col("leader_index") % 13 == 0, F.concat(F.lit(" "), "id")).otherwise(F.col("id")),
+    })
+    return integrity.bad_formats(spoiled)
+
+
+@query(
+    f"""{_CONTACTS}, every AS (
+      SELECT 'E-Mail' AS kind, email AS value, component FROM m WHERE email <> '' UNION SELECT 'Telefonnummer', phone, component FROM m WHERE phone <> ''
+      UNION SELECT 'ID', id, component FROM clean
+    ) SELECT kind, value, 2::BIGINT AS n FROM every WHERE component IN (SELECT component FROM clean WHERE leader_index % 11 = 0)"""
+)
+def check_repeats(spark, sf_dir):
+    """Keys that occur twice when some contacts are repeated."""
+    _, clean, _ = _spoiled(spark, sf_dir)
+    return integrity.repeated_keys(clean.union(clean.where("leader_index % 11 = 0")))

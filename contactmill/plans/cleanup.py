@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import shutil
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contactmill import storage
 from contactmill.config import Config
 from contactmill.operators import integrity, merge, rules
 from contactmill.session import materialise
@@ -26,9 +26,10 @@ EXCLUDED = "id source row name email phone email_normalized phone_normalized rea
 
 @dataclass
 class Result:
-    """The tables of a run; records and contacts are in the shared folder, the others follow."""
+    """The tables of a run; records, grouped and contacts are in the shared folder, the others follow."""
 
     records: DataFrame
+    grouped: DataFrame  # the records that are kept, with their component
     contacts: DataFrame
     config: Config
 
@@ -54,7 +55,6 @@ class Result:
         def counts(df: DataFrame, key) -> dict:
             return {r["key"]: r["n"] for r in df.groupBy(key.alias("key")).agg(F.count("*").alias("n")).collect()}
 
-        again = self.records.where("duplicate").orderBy("index").select("file", "row", "uid")
         return {
             "n_input": totals["n"], "n_excluded": totals["x"], "n_output": of["n"], "n_absorbed": of["absorbed"],
             "n_suspect": of["suspect"],
@@ -63,9 +63,14 @@ class Result:
             "flags": counts(self.contacts.select(F.explode("flags").alias("f")), F.col("f.code")),
             "unusable": counts(self.records.select(F.explode("unusable").alias("u")), F.col("u.kind")),
             "group_sizes": counts(self.contacts, F.col("n_members")),
-            "warnings": [f"{r['file']}, Zeile {r['row']}: doppelte ID, verwendet wird {r['uid']}" for r in again.toLocalIterator()],
         }
 
+    def warnings(self) -> Iterator[str]:
+        """One line for each duplicate id, in order; rows come from the executors as they are read."""
+        again = self.records.where("duplicate").orderBy("index").select("file", "row", "uid")
+        for r in again.toLocalIterator():
+            yield f"{r['file']}, Zeile {r['row']}: doppelte ID, verwendet wird {r['uid']}"
+
 
 def process(spark: SparkSession, paths: list[str], config: Config) -> Result:
     """All steps up to the first check; nothing is written to the output folder."""
@@ -73,26 +78,27 @@ def process(spark: SparkSession, paths: list[str], config: Config) -> Result:
     records, _ = materialise(judged, "records")
     # rows that are set aside must not link two contacts, so only kept rows are grouped
     kept = records.where(F.size("reasons") == 0)
-    contacts, _ = materialise(merge.merge_contacts(merge.with_components(kept)), "contacts")
-    result = Result(records, contacts, config)
+    grouped, _ = materialise(merge.with_components(kept), "grouped")
+    contacts, _ = materialise(merge.merge_contacts(grouped), "contacts")
+    result = Result(records, grouped, contacts, config)
     integrity.verify(records, result.clean, result.excluded, config.country_code)
     return result
 
 
 def run(spark: SparkSession, patterns: list[str], config: Config, out: str) -> Result:
     """Process, write clean.csv, excluded.csv, report.md and review.html, and check the files read
-    back. They are staged and only get their place in `out` after that check."""
-    result = process(spark, source.expand_inputs(patterns), config)
-    os.makedirs(out, exist_ok=True)
-    staged = os.path.join(out, ".staged")
-    shutil.rmtree(staged, ignore_errors=True)
-    os.makedirs(staged)
+    back. They are staged and only get their place in `out`, a folder in any file system, after that
+    check."""
+    result = process(spark, source.expand_inputs(spark, patterns), config)
+    out = out.rstrip("/")
+    staged = f"{out}/_staged"
+    storage.remove(spark, staged)
+    storage.make_folder(spark, staged)
     files.write_csv(result.clean, f"{staged}/clean.csv", ["component"], CLEAN)
     files.write_csv(result.excluded, f"{staged}/excluded.csv", ["index"], EXCLUDED)
-    with open(f"{staged}/report.md", "w", encoding="utf-8") as file:
-        file.write(reporting.report(result.metrics))
-    with open(f"{staged}/review.html", "w", encoding="utf-8") as file:
-        file.writelines(reporting.review_page(result.metrics, result.contacts, result.excluded))
+    storage.write_text(spark, f"{staged}/report.md", reporting.report(result.metrics, result.warnings()))
+    page = reporting.review_page(result.metrics, result.contacts, result.excluded, result.grouped)
+    storage.write_text(spark, f"{staged}/review.html", page)
     integrity.verify(
         result.records,
         files.read_csv(spark, f"{staged}/clean.csv", CLEAN),
@@ -100,6 +106,6 @@ def run(spark: SparkSession, patterns: list[str], config: Config, out: str) -> R
         config.country_code,
     )
     for name in ("clean.csv", "excluded.csv", "report.md", "review.html"):
-        os.replace(f"{staged}/{name}", f"{out}/{name}")
-    shutil.rmtree(staged)
+        storage.move(spark, f"{staged}/{name}", f"{out}/{name}")
+    storage.remove(spark, staged)
     return result

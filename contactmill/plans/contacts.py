@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contactmill import storage
 from contactmill.config import Config
 from contactmill.operators import rules
 from contactmill.session import materialise
+from contactmill.sinks import files
 from contactmill.sources import csv as source
 
 CONFIG = Config(
@@ -62,6 +64,10 @@ STEPS: list[dict[str, str]] = [
         "raw_created": "case when k % 4 = 0 then concat('2024-', lpad(cast(k % 12 + 1 as string), 2, '0'), '-', lpad(cast(k % 28 + 1 as string), 2, '0')) "
         "when k % 4 = 1 then concat(cast(k % 28 + 1 as string), '.', cast(k % 12 + 1 as string), '.2023') "
         "when k % 4 = 2 then '31.02.2024' else '' end",
+        "raw_email_2": "case when k % 6 = 0 then concat(' ', upper(mail)) when k % 6 = 1 then concat('<zweite', cast(k as string), '@example.net>') "
+        "when k % 47 = 2 then 'keine' else '' end",
+        "raw_phone_2": "case when k % 5 = 0 then concat('0049 151 ', number) when k % 5 = 1 then concat('0171/', number) "
+        "when k % 43 = 3 then 'folgt' else '' end",
         "raw_company": "case when k % 3 = 0 then '' else concat(' Firma  ', cast(nation as string)) end",
         "raw_city": "case when k % 4 = 1 then '' else concat('Ort ', cast(k % 6 as string)) end",
     },
@@ -100,6 +106,43 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Headers of the two layouts that the contacts are exported in.
+LAYOUTS = {
+    "a": {"id": "Contact ID", "name": "Full Name", "email": "Email", "email_2": "Email 2", "phone": "Phone", "phone_2": "Phone 2",
+          "company": "Company", "city": "City", "created": "Created"},
+    "b": {"id": "Kontakt-Nr", "first_name": "Vorname", "last_name": "Nachname", "email": "E-Mail", "email_2": "E-Mail 2",
+          "phone": "Telefon", "phone_2": "Mobil", "company": "Firma", "city": "Ort", "created": "Erstellt am"},
+}
+
+
+def settings() -> dict:
+    """The settings for the exports, as a TOML document holds them."""
+    return {
+        "phone": {"default_country_code": "49"},
+        "exclude": {
+            "internal_domains": ["@Example.org"], "internal_emails": ["Support@example.com"],
+            "test_patterns": [r"\btest\b", r"\bmustermann\b"],
+        },
+        "source": [{"match": f"export_{x}.csv", "columns": columns} for x, columns in LAYOUTS.items()],
+    }
+
+
+def export(spark: SparkSession, sf_dir: str, folder: str, second: bool = True) -> None:
+    """Write the contacts as two CSV files, as they are given; second: with second addresses and numbers."""
+    view = contacts(spark, sf_dir)
+    name = source.T.clean_text(F.col("raw_name"))
+    cells = {
+        "id": F.col("given_id"), "name": F.col("raw_name"), "first_name": F.substring_index(name, " ", 1),
+        "last_name": F.when(name.contains(" "), F.substr(name, F.instr(name, " ") + 1)).otherwise(""),
+        **{f: F.col(f"raw_{f}") for f in ("email", "phone", "company", "city", "created")},
+        **{f: F.col(f"raw_{f}") if second else F.lit("") for f in ("email_2", "phone_2")},
+    }
+    storage.make_folder(spark, folder)
+    for layout, headers in LAYOUTS.items():
+        rows = view.where(F.col("source") == layout).select("k", *[cells[f].alias(h) for f, h in headers.items()])
+        files.write_csv(rows, f"{folder}/export_{layout}.csv", ["k"], list(headers.values()))
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contacts as records with reasons and flags, written to the shared folder once."""
     rows = source.with_uids(raw_rows(spark, sf_dir))

@@ -8,11 +8,11 @@ people 70, 22 and 8), which share addresses and numbers: the rows of three form
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contactmill import storage
 from contactmill.sinks import files
 
 # Shares of special rows, in thousandths.
@@ -114,13 +114,12 @@ def truth(rows: DataFrame) -> dict:
 
 def write(spark: SparkSession, n: int, seed: int, out: str) -> dict:
     """Write export_a.csv, export_b.csv and truth.json to a folder."""
-    os.makedirs(out, exist_ok=True)
+    storage.make_folder(spark, out)
     rows = build(spark, n, seed)
     for layout, headers in LAYOUTS.items():
         part = rows.where(F.col("layout") == layout)
         part = part.select("order", *[F.col(f).alias(h) for f, h in headers.items()])
         files.write_csv(part, f"{out}/export_{layout}.csv", ["order"], list(headers.values()))
     known = truth(rows)
-    with open(f"{out}/truth.json", "w", encoding="utf-8") as file:
-        json.dump(known, file, indent=1, sort_keys=True)
+    storage.write_text(spark, f"{out}/truth.json", [json.dumps(known, indent=1, sort_keys=True)])
     return known

@@ -2,49 +2,34 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contactmill import storage
+
 _OPTIONS = {
-    "header": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "", "lineSep": "\n", "encoding": "UTF-8",
+    "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "", "lineSep": "\n", "encoding": "UTF-8",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def uri(path: str) -> str:
-    return path if "://" in path else "file://" + os.path.abspath(path)
-
-
 def write_csv(df: DataFrame, path: str, order: list[str], columns: list[str], single: bool = True) -> None:
-    """Write the columns in the given order. One file, written by one task, is the form that other
-    systems import; single=False writes a folder of files whose names are in order instead."""
+    """Write the columns in the given order. Ranges of rows are sorted and written side by side, and
+    then joined to one file, the form that other systems import; single=False leaves a folder of
+    files whose names are in order instead, each with a header. Cells hold no line breaks."""
     spark = df.sparkSession
-    rows = df.select(*columns, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
     keys = [f"_o{i}" for i in range(len(order))]
-    rows = rows.coalesce(1).sortWithinPartitions(*keys) if single else rows.orderBy(*keys)
-    target = uri(path)
-    staging = target + ".parts" if single else target
-    rows.select(*columns).write.mode("overwrite").options(**_OPTIONS).csv(staging)
+    rows = df.select(*columns, *[F.col(c).alias(k) for c, k in zip(order, keys)]).orderBy(*keys).select(*columns)
+    folder = path + ".parts" if single else path
+    rows.write.mode("overwrite").option("header", not single).options(**_OPTIONS).csv(folder)
     if single:
-        folder = _hadoop_path(spark, staging)
-        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        parts = [s.getPath() for s in system.listStatus(folder) if s.getPath().getName().startswith("part-")]
-        final = _hadoop_path(spark, target)
-        system.delete(final, False)
-        if parts:
-            system.rename(parts[0], final)
-        system.delete(folder, True)
+        storage.join_files(spark, ",".join(columns) + "\n", folder, path)
+        storage.remove(spark, folder)
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A table that write_csv wrote, all strings, without nulls."""
+    """A table that write_csv wrote, all strings, without nulls; a large file is read in ranges."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    table = spark.read.schema(schema).option("header", True).option("multiLine", True)
-    table = table.option("quote", '"').option("escape", '"').option("enforceSchema", True).csv(uri(path))
+    table = spark.read.schema(schema).option("header", True).option("lineSep", "\n")
+    table = table.option("quote", '"').option("escape", '"').option("enforceSchema", True).csv(path)
     return table.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from html import escape
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contactmill.operators.merge import with_place
+
 # Labels of reasons and flags, and below the German lines of report and page.
 REASON_LABELS = {
     "internal": "Interne Adressen",
@@ -42,56 +44,62 @@ def _by_count(counts: dict[str, int]) -> list[tuple[str, int]]:
     return sorted(counts.items(), key=lambda x: (-x[1], x[0]))
 
 
-def report(m: dict) -> str:
-    """m: the metrics of a run (see plans.cleanup.metrics)."""
-    sizes = m["group_sizes"]
-    merged = sum(n for size, n in sizes.items() if size > 1)
-    n_in, n_ex, n_ab, n_out = (number(m[k]) for k in ("n_input", "n_excluded", "n_absorbed", "n_output"))
-    out = ["# Bereinigungsbericht", "", "## Bilanz", ""]
-    out += markdown_table(["", "Zeilen"], [
-        ["Eingangszeilen", n_in],
-        ["ausgeschlossen (`excluded.csv`)", n_ex],
-        ["in einen anderen Datensatz zusammengeführt", n_ab],
-        ["**Saubere Kontakte (`clean.csv`)**", f"**{n_out}**"],
-    ])
-    out += ["", f"Probe: {n_in} = {n_ex} + {n_ab} + {n_out}. Jede Eingangszeile ist genau einmal berücksichtigt."]
-    out += ["", "## Eingabedateien", "", *markdown_table(["Datei", "Zeilen"], [[f, number(n)] for f, n in m["files"]])]
-    out += [
-        "", "## Ausgeschlossene Zeilen nach Grund", "",
-        "Es wird nichts gelöscht. Jede Zeile unten steht mit ihrem Grund in `excluded.csv` "
-        "(erste zutreffende Regel; eine Zeile kann auf mehrere zutreffen).", "",
-    ]
-    out += markdown_table(["Grund", "Zeilen"], [[_coded(REASON_LABELS, c), number(n)] for c, n in _by_count(m["reasons"])])
-    out += [
-        "", "## Verdächtige Datensätze (behalten, markiert)", "",
-        f"{number(m['n_suspect'])} von {n_out} Ausgabedatensätzen tragen `suspect = yes`. "
-        "Sie bleiben in `clean.csv`; `review.html` listet sie mit der Begründung auf.", "",
-    ]
-    out += markdown_table(["Markierung", "Datensätze"], [[_coded(FLAG_LABELS, c), number(n)] for c, n in _by_count(m["flags"])])
-    out += [
-        "", "## Dubletten", "",
-        f"{number(merged)} Ausgabedatensätze sind aus mehr als einer Zeile entstanden ({n_ab} Zeilen zusammengeführt). "
-        f"Größte Gruppe: {number(max(sizes, default=0))} Zeilen.", "",
-    ]
-    out += markdown_table(["Zeilen je Gruppe", "Ausgabedatensätze"], [[s, number(n)] for s, n in sorted(sizes.items())])
-    out += [
-        "", "## Unbrauchbare Werte", "",
-        "Werte, die sich nicht normalisieren ließen, bleiben nachvollziehbar: "
-        "Sie stehen in der Spalte `notes` des zugehörigen Datensatzes.", "",
-    ]
-    out += markdown_table(["Art", "Anzahl"], [[k, number(n)] for k, n in sorted(m["unusable"].items())])
-    out += [
-        "", "## Prüfungen (alle bestanden)", "",
-        "- Bilanz: Eingangszeilen = ausgeschlossen + zusammengeführt + Ausgabe",
-        "- jede Eingangszeile ist genau einmal entweder behalten, zusammengeführt oder ausgeschlossen",
-        "- keine normalisierte E-Mail und keine Telefonnummer aus der Eingabe fehlt in der Ausgabe",
-        "- jede E-Mail, Telefonnummer und ID ist in `clean.csv` eindeutig",
-        "- jede E-Mail ist klein geschrieben und gültig, jede Telefonnummer ist E.164 (9 bis 15 Ziffern), jedes Datum ist ISO",
-        "- dieselben Prüfungen bestehen noch einmal auf den von der Platte zurückgelesenen Dateien",
-    ]
-    if m["warnings"]:
-        out += ["", "## Warnungen", "", *(f"- {w}" for w in m["warnings"])]
-    return "\n".join(out) + "\n"
+def _coded_counts(labels: dict[str, str], counts: dict[str, int]) -> list[list[str]]:
+    return [[_coded(labels, code), number(n)] for code, n in _by_count(counts)]
+
+
+#: The report: title of a section, text before its table, columns, and rows from the metrics. Titles and
+#: columns are fixed texts that readers of the reports know.
+SECTIONS = (
+    ("Bilanz", "", ("", "Zeilen"), lambda m: [
+        ["Eingangszeilen", number(m["n_input"])],
+        ["ausgeschlossen (`excluded.csv`)", number(m["n_excluded"])],
+        ["in einen anderen Datensatz zusammengeführt", number(m["n_absorbed"])],
+        ["**Saubere Kontakte (`clean.csv`)**", f"**{number(m['n_output'])}**"],
+    ]),
+    ("Eingabedateien", "", ("Datei", "Zeilen"), lambda m: [[f, number(n)] for f, n in m["files"]]),
+    (
+        "Ausgeschlossene Zeilen nach Grund", "Alle Zeilen bleiben in `excluded.csv` erhalten; gezählt ist der jeweils erste Grund.",
+        ("Grund", "Zeilen"), lambda m: _coded_counts(REASON_LABELS, m["reasons"]),
+    ),
+    (
+        "Verdächtige Datensätze (behalten, markiert)",
+        "{n_suspect} von {n_output} Kontakten sind markiert (`suspect = yes`); einzeln stehen sie in `review.html`.",
+        ("Markierung", "Datensätze"), lambda m: _coded_counts(FLAG_LABELS, m["flags"]),
+    ),
+    (
+        "Dubletten", "{n_merged} Kontakte entstanden aus mehreren Zeilen. Größte Gruppe: {largest} Zeilen.",
+        ("Zeilen je Gruppe", "Ausgabedatensätze"), lambda m: [[s, number(n)] for s, n in sorted(m["group_sizes"].items())],
+    ),
+    (
+        "Unbrauchbare Werte", "Was sich nicht lesen ließ, steht unverändert in der Spalte `notes`.",
+        ("Art", "Anzahl"), lambda m: [[k, number(n)] for k, n in sorted(m["unusable"].items())],
+    ),
+)
+#: What has been checked when a report is written.
+CHECKS = (
+    "Die Summe aus ausgeschlossenen, zusammengeführten und ausgegebenen Zeilen ist die Zahl der Eingangszeilen.",
+    "Jede Eingangs-ID kommt im Ergebnis genau einmal vor.",
+    "Alle Adressen und Nummern der Eingabe sind im Ergebnis zu finden.",
+    "In `clean.csv` wiederholt sich keine Adresse, Nummer oder ID.",
+    "Adressen, Nummern und Daten haben ihre Form.",
+    "Die gelesenen Dateien bestehen dieselben Prüfungen wie die Tabellen davor.",
+)
+
+
+def report(m: dict, warnings: Iterable[str] = ()) -> Iterator[str]:
+    """The report in pieces. m: the metrics of a run (see plans.cleanup)."""
+    shown = {k: number(v) for k, v in m.items() if isinstance(v, int)}
+    shown["n_merged"] = number(sum(n for size, n in m["group_sizes"].items() if size > 1))
+    shown["largest"] = number(max(m["group_sizes"], default=0))
+    yield "# Bereinigungsbericht\n"
+    for title, text, columns, rows in SECTIONS:
+        lines = ["", f"## {title}", "", *([text.format(**shown), ""] if text else []), *markdown_table(list(columns), rows(m))]
+        yield "\n".join(lines) + "\n"
+    yield "\nProbe: {n_input} = {n_excluded} + {n_absorbed} + {n_output}.\n".format(**shown)
+    yield "\n".join(["", "## Prüfungen (alle bestanden)", "", *(f"- {c}" for c in CHECKS)]) + "\n"
+    for k, warning in enumerate(warnings):
+        yield ("\n## Warnungen\n\n" if not k else "") + f"- {warning}\n"
 
 
 _STYLE = """
@@ -117,9 +125,9 @@ def _head(names: Iterable[str]) -> str:
     return f"<table><thead><tr>{''.join(f'<th>{escape(n)}</th>' for n in names)}</tr></thead><tbody>\n"
 
 
-def review_page(m: dict, contacts: DataFrame, excluded: DataFrame) -> Iterable[str]:
+def review_page(m: dict, contacts: DataFrame, excluded: DataFrame, grouped: DataFrame) -> Iterator[str]:
     """The page in pieces. Rows are streamed from the executors partition by partition, so the
-    driver never holds a whole table."""
+    driver never holds a whole table; members are fetched for the largest groups alone."""
     yield '<!doctype html><html lang="de"><head><meta charset="utf-8"><title>Prüfung vor dem Import</title>'
     yield f"<style>{_STYLE}</style></head><body><h1>Prüfung vor dem Import</h1>"
     yield "<p>Ausgeschlossene Zeilen und Grenzfälle zur Prüfung durch einen Menschen. Nichts davon wurde gelöscht. "
@@ -153,8 +161,9 @@ def review_page(m: dict, contacts: DataFrame, excluded: DataFrame) -> Iterable[s
     for c in top:
         yield f"<details><summary>{c['n_members']} Zeilen zu <code>{escape(c['id'])}</code> ({escape(c['name'])})</summary>"
         yield _head(["Zeile", "Name", "E-Mail", "Telefon", "Rolle"])
-        for i, r in enumerate(c["members"]):
-            role = "führt" if i == 0 else "zusammengeführt"
+        members = with_place(grouped.where(F.col("component") == c["component"]))
+        for r in members.select("place", "uid", "name", "emails", "phones").orderBy("place").toLocalIterator():
+            role = "führt" if r["uid"] == c["id"] else "zusammengeführt"
             yield _row([r["uid"], r["name"], ", ".join(r["emails"]), ", ".join(r["phones"])], [role])
         yield "</tbody></table></details>"
     if not top:

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import codecs
-import csv
-import glob
 import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from contactmill import storage
 from contactmill.config import CANONICAL, LIST_MARK, Config, ConfigError, Source
 from contactmill.functions import text as T
 
@@ -19,16 +18,16 @@ FILE_STRIDE = 1 << 40
 KINDS = {"email": "unbrauchbare E-Mail", "phone": "unbrauchbare Telefonnummer", "created": "nicht lesbares Datum"}
 
 
-def expand_inputs(patterns: list[str]) -> list[str]:
-    """Existing paths as they are, else wildcards; sorted, each file once however it is spelled."""
-    paths: dict[str, str] = {}
+def expand_inputs(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """Existing paths as they are, else wildcards, in any file system; sorted, each file once however
+    it is spelled."""
+    paths = set()
     for pattern in patterns:
-        hits = [pattern] if os.path.exists(pattern) else glob.glob(pattern)
+        hits = [pattern] if storage.exists(spark, pattern) else storage.matching(spark, pattern)
         if not hits:
-            raise ConfigError(f"Keine Eingabedatei passt zu {pattern!r}")
-        for hit in hits:
-            paths.setdefault(os.path.realpath(hit), os.path.normpath(hit))
-    return sorted(paths.values())
+            raise ConfigError(f"Keine Eingabedatei unter {pattern!r}")
+        paths |= {storage.uri(spark, hit) for hit in hits}
+    return sorted(paths)
 
 
 def jvm_charset(encoding: str) -> str:
@@ -41,55 +40,45 @@ def jvm_charset(encoding: str) -> str:
     return known.get(name, name.replace("cp125", "windows-125").replace("iso8859-", "ISO-8859-"))
 
 
-def read_header(path: str, source: Source) -> list[str]:
-    try:
-        with open(path, encoding=source.encoding, newline="") as file:
-            return next(csv.reader(file, delimiter=source.delimiter), [])
-    except (UnicodeDecodeError, csv.Error, LookupError) as wrong:
-        raise ConfigError(f"{os.path.basename(path)}: nicht lesbar ({wrong})") from wrong
+def _reader(spark: SparkSession, source: Source):
+    charset = jvm_charset(source.encoding)
+    if charset not in ("UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16"):
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # as long as the files may be read
+    options = {"multiLine": True, "quote": '"', "escape": '"', "sep": source.delimiter, "encoding": charset, "mode": "PERMISSIVE"}
+    return spark.read.options(**options)
+
+
+def read_header(spark: SparkSession, path: str, source: Source) -> list[str]:
+    first = _reader(spark, source).option("header", False).csv(path).head()
+    return [(cell or "").removeprefix("\ufeff") for cell in first or []]
 
 
 def scan(spark: SparkSession, path: str, source: Source) -> DataFrame:
     """One file: its mapped columns under their canonical names, and row from 1."""
-    name = os.path.basename(path)
+    name = storage.name(path)
     if set(path) & set("*?[]{}\\"):
         raise ConfigError(f"{name}: Dateinamen mit Platzhalterzeichen werden nicht unterstützt")
-    header = read_header(path, source)
-    missing = sorted(h for h in source.columns.values() if h not in header)
+    header = read_header(spark, path, source)
+    missing = sorted(set(source.columns.values()) - set(header))
     if missing:
-        raise ConfigError(
-            f"{name}: Spalte(n) {missing} aus der Konfiguration fehlen in der Datei (gefunden: {sorted(set(header))})"
-        )
-    charset = jvm_charset(source.encoding)
-    if charset not in ("UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16"):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+        raise ConfigError(f"{name}: {missing} fehlen in der Datei; sie hat die Spalten {sorted(set(header))}")
     # by position: names may be repeated, and then the last one counts
     place = {h: i for i, h in enumerate(header)}
-    table = (
-        spark.read.schema(", ".join(f"_c{i} string" for i in range(max(1, len(header)))))
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("sep", source.delimiter)
-        .option("encoding", charset)
-        .option("mode", "PERMISSIVE")
-        .csv("file://" + os.path.abspath(path))
-    )
+    table = _reader(spark, source).schema(", ".join(f"_c{i} string" for i in range(max(1, len(header)))))
+    table = table.option("header", True).option("enforceSchema", True).csv(path)
     # a quoted line break can't be split, so a file is one task and its rows come in order
     cells = [
         T.clean_text(F.col(f"_c{place[source.columns[f]]}")).alias(f) if f in source.columns else F.lit("").alias(f)
         for f in CANONICAL
     ]
-    return table.select((F.monotonically_increasing_id() + 1).cast("int").alias("row"), *cells)
+    return table.select((F.monotonically_increasing_id() + 1).alias("row"), *cells)
 
 
 def raw_rows(spark: SparkSession, paths: list[str], config: Config) -> DataFrame:
     """The rows of all files in one table, with source, file and index."""
     parts = []
     for number, path in enumerate(paths):
-        name = os.path.basename(path)
+        name = storage.name(path)
         stem = os.path.splitext(name)[0]
         rows = scan(spark, path, config.source_for(name))
         index = (F.lit(number * FILE_STRIDE) + F.col("row")).cast("long")

@@ -8,7 +8,9 @@ from contactmill.plans import catalog
 
 CHECKED = (
     "clean_text_docs name_case iso_dates email_norm_contacts phone_norm_formats pct_half_even source_union_map uid_dedup "
-    "exclusion_reasons suspect_flags clean_rows check_unique slug_names escape_pages"
+    "exclusion_reasons suspect_flags clean_rows check_unique slug_names escape_pages "
+    "csv_scan csv_records header_check separator_guard source_match settings_read settings_refused report_tables review_rows "
+    "excluded_written check_lost_keys check_formats check_ids check_repeats synth_kinds"
 ).split()
 
 

@@ -79,7 +79,7 @@ def test_load_errors_and_ids(spark, tmp_path, settings):
         write(tmp_path / folder / "export_a.csv", HEAD_A, [["7", "A B"] + [""] * 5])
     rows = source.load_records(spark, [str(tmp_path / "export_a1.csv")], settings).orderBy("index").collect()
     assert [(r["uid"], r["duplicate"]) for r in rows] == [("export_a1:7", False), ("export_a1:7@row2", True)]
-    paths = source.expand_inputs([str(tmp_path / "r/*.csv"), str(tmp_path / "?/export_a.csv"), str(tmp_path / "p/../p/export_a.csv")])
+    paths = source.expand_inputs(spark, [str(tmp_path / "r/*.csv"), str(tmp_path / "?/export_a.csv"), str(tmp_path / "p/../p/export_a.csv")])
     assert len(paths) == 3 and paths == sorted(paths)
     uids = [r["uid"] for r in source.load_records(spark, paths, settings).collect()]
     assert len(set(uids)) == 3
@@ -87,7 +87,7 @@ def test_load_errors_and_ids(spark, tmp_path, settings):
     write(tmp_path / "other.csv", HEAD_A, [])
     for name, text in (("export_a2.csv", "fehlen in der Datei"), ("other.csv", "Kein"), ("none.csv", "Keine Eingabedatei")):
         with pytest.raises(config.ConfigError, match=text):
-            source.load_records(spark, source.expand_inputs([str(tmp_path / name)]), settings)
+            source.load_records(spark, source.expand_inputs(spark, [str(tmp_path / name)]), settings)
 
 
 def test_encodings_and_odd_rows(spark, tmp_path):
@@ -123,7 +123,7 @@ def test_nothing_kept(spark, tmp_path, settings):
 def test_known_outcome(spark, tmp_path, settings, n, seed):
     known = synth.write(spark, n, seed, str(tmp_path))
     assert json.loads((tmp_path / "truth.json").read_text()) == known
-    result = cleanup.process(spark, source.expand_inputs([str(tmp_path / "*.csv")]), settings)
+    result = cleanup.process(spark, source.expand_inputs(spark, [str(tmp_path / "*.csv")]), settings)
     m = result.metrics
     assert {k: m[k] for k in known} == known
     before = (tmp_path / "export_a.csv").read_bytes()

@@ -152,4 +152,4 @@ def test_checks_find_tampering(spark):
     with pytest.raises(integrity.IntegrityError):
         integrity.verify(rows, clean, excluded.limit(0))
     with pytest.raises(integrity.IntegrityError):
-        integrity.check_balance(4, 1, 1, 1)
+        integrity.require_balance(4, a=1, b=1, c=1)
