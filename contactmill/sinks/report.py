@@ -125,6 +125,9 @@ def _head(names: Iterable[str]) -> str:
     return f"<table><thead><tr>{''.join(f'<th>{escape(n)}</th>' for n in names)}</tr></thead><tbody>\n"
 
 
+_CLOSE = "</tbody></table></details>"
+
+
 def review_page(m: dict, contacts: DataFrame, excluded: DataFrame, grouped: DataFrame) -> Iterator[str]:
     """The page in pieces. Rows are streamed from the executors partition by partition, so the
     driver never holds a whole table; members are fetched for the largest groups alone."""
@@ -146,26 +149,41 @@ def review_page(m: dict, contacts: DataFrame, excluded: DataFrame, grouped: Data
     ):
         yield f'<li><label><input type="checkbox"> {line}</label></li>'
     yield f"</ul><h2>Ausgeschlossene Zeilen ({number(m['n_excluded'])})</h2>"
-    for code, n in _by_count(m["reasons"]):
-        yield f'<details data-reason="{escape(code)}"><summary>{escape(REASON_LABELS.get(code, code))} ({number(n)})</summary>'
-        yield _head(["ID", "Name", "E-Mail", "Telefon", "Grund"])
-        for r in excluded.where(F.col("reason_code") == code).orderBy("index").toLocalIterator():
-            yield _row([r["id"], r["name"], r["email"], r["phone"]], [r["reason"]])
-        yield "</tbody></table></details>"
+    order = _by_count(m["reasons"])
+    section = F.array_position(F.lit([code for code, _ in order] or [""]), F.col("reason_code"))
+    rows = excluded.select("index", "id", "name", "email", "phone", "reason", section.alias("section"))
+    opened = 0
+    for r in rows.orderBy("section", "index").toLocalIterator():
+        while opened < r["section"]:
+            code, n = order[opened]
+            yield _CLOSE * (opened > 0)
+            yield f'<details data-reason="{escape(code)}"><summary>{escape(REASON_LABELS.get(code, code))} ({number(n)})</summary>'
+            yield _head(["ID", "Name", "E-Mail", "Telefon", "Grund"])
+            opened += 1
+        yield _row([r["id"], r["name"], r["email"], r["phone"]], [r["reason"]])
+    yield _CLOSE * (opened > 0)
     yield f"<h2>Verdächtige Datensätze ({number(m['n_suspect'])})</h2>" + _head(["ID", "Name", "E-Mail", "Telefon", "Warum markiert"])
     suspects = contacts.where(F.size("flags") > 0).select("component", "id", "name", "emails", "phones", "flags")
     for r in suspects.orderBy("component").toLocalIterator():
         yield _row([r["id"], r["name"], next(iter(r["emails"]), ""), next(iter(r["phones"]), "")], [f["text"] for f in r["flags"]])
     yield "</tbody></table><h2>Größte Zusammenführungsgruppen</h2>"
     top = contacts.where("n_members > 1").orderBy(F.desc("n_members"), "leader_index").limit(10).collect()
-    for c in top:
-        yield f"<details><summary>{c['n_members']} Zeilen zu <code>{escape(c['id'])}</code> ({escape(c['name'])})</summary>"
-        yield _head(["Zeile", "Name", "E-Mail", "Telefon", "Rolle"])
-        members = with_place(grouped.where(F.col("component") == c["component"]))
-        for r in members.select("place", "uid", "name", "emails", "phones").orderBy("place").toLocalIterator():
-            role = "führt" if r["uid"] == c["id"] else "zusammengeführt"
-            yield _row([r["uid"], r["name"], ", ".join(r["emails"]), ", ".join(r["phones"])], [role])
-        yield "</tbody></table></details>"
+    known = {c["component"]: c for c in top}
+    place = F.array_position(F.lit(list(known) or [0]), F.col("component")).alias("group")
+    members = with_place(grouped.where(F.col("component").isin(list(known)))).select(
+        place, "place", "component", "uid", "name", "emails", "phones"
+    )
+    now = None
+    for r in members.orderBy("group", "place").toLocalIterator() if top else ():
+        c = known[r["component"]]
+        if now != r["component"]:
+            yield _CLOSE * (now is not None)
+            now = r["component"]
+            yield f"<details><summary>{c['n_members']} Zeilen zu <code>{escape(c['id'])}</code> ({escape(c['name'])})</summary>"
+            yield _head(["Zeile", "Name", "E-Mail", "Telefon", "Rolle"])
+        role = "führt" if r["uid"] == c["id"] else "zusammengeführt"
+        yield _row([r["uid"], r["name"], ", ".join(r["emails"]), ", ".join(r["phones"])], [role])
+    yield _CLOSE * (now is not None)
     if not top:
         yield "<p>Keine Dubletten gefunden.</p>"
     yield f"<script>{_SCRIPT}</script></body></html>\n"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from contactmill.functions import text as T
 
 NUMBER = "+4915100001234"
+# Notations, and what each of them means; the rules behind them leave no other choice.
 EMAILS = {
     "  Anna.Müller@Example.COM ": "", "  Anna.Mueller@Example.COM ": "anna.mueller@example.com",
     "<mailto:a@example.com>": "a@example.com", "info@gebäude-service.de": "info@gebäude-service.de",
@@ -73,7 +74,7 @@ def test_clean_text_is_like_python(spark):
 
 
 def test_letters_ratio_percent(spark):
-    words = ["Zoë", "Müller", "straße", "L. Brandt", "Ĳssel", "ﬁn", "Ａｂ", "Ŀ x 1²", "", "Łódź", "Ǆ"]
+    words = ["Ελλάδα", "Йосип Ёлкин", "김민준 한글", "Nguyễn Văn Đức", "№ 5 ™ ½ ㎏", "ﷺ", "𝔄𝔟", "ﾊﾝｶｸ", "Åse", "ⅳ", "Zoë", "Müller", "straße", "L. Brandt", "Ĳssel", "ﬁn", "Ａｂ", "Ŀ x 1²", "", "Łódź", "Ǆ"]
     got = table(spark, words, a=T.letters(F.col("v")), b=T.vowel_ratio(T.letters(F.col("v"))), c=T.name_letters(F.col("v")))
     for w in words:
         plain = "".join(c for c in unicodedata.normalize("NFKD", w.lower()) if c.isalpha() and not unicodedata.combining(c))
@@ -86,7 +87,7 @@ def test_letters_ratio_percent(spark):
 
 
 def test_quoting_and_folding(spark):
-    values = ["plain", "o'neil", 'say "x"', "both ' and \"", "back\\slash", "it's \\"]
+    values = ["plain", "o'neil", 'say "x"', "both ' and \"", "back\\slash", "it's \\", "a\x07b", "soft\xadhyphen", "x\u2028y", "\U000e0001 ' \x9f", "ä€😀"]
     got = table(spark, values, x=T.quoted(F.col("v")))
     assert all(got[v]["x"] == repr(v) for v in values)
     got = table(spark, ["STRAẞE", "straße", "Müller"], x=T.casefold(F.col("v")))
