@@ -16,6 +16,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFr
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its shingle set and the least id of its component."""
     return ngram_join.similarity_components(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
@@ -40,11 +41,13 @@ FROM documents d JOIN r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GRO
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its main text."""
     found = html_extract.extract(_read(spark, sf_dir, "pages", "page_id", "url", "html"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words, those in benchmark windows, and the items they come from."""
     return decontaminate.contamination(
         _read(spark, sf_dir, "documents", "doc_id", "text"), _read(spark, sf_dir, "benchmark", "item_id", "text")
     )
@@ -75,6 +78,7 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it comes back from the archives that it was written to."""
     pages = _read(spark, sf_dir, "pages", "page_id", "url", "html")
     archives = warc.write_archives(pages, scratch_path(spark, "warc"))
     records = warc.read_archives(spark, archives)
@@ -104,10 +108,12 @@ FROM f
 
 
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint, that of its edited text, and both likenesses."""
     return fingerprints.compare_neighbours(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the rule that fits its url best, and the verdict."""
     rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
     return url_filter.judge(_read(spark, sf_dir, "pages", "page_id", "url"), rules).drop("url")
 
@@ -156,12 +162,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the probabilities of the chain, and whether it is toxic."""
     docs = _read(spark, sf_dir, "documents", "doc_id", "text")
     chain = toxicity.train(docs, _read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
     return toxicity.predict(docs, chain).drop("text")
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in its text, and how many entities of which types it had."""
     return pii.pseudonymise(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
