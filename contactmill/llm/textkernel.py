@@ -139,15 +139,18 @@ def words(buf: np.ndarray, offsets: np.ndarray, alphabet: Alphabet, piece: int =
         sums = np.empty(n + 1, U64)
         sums[0] = 0
         np.cumsum(alphabet.value[part[p : p + n]] * up[:n], out=sums[1:])
-        sums *= U64(pow(_ODD, p, 1 << 64))
-        sums += total
         opens, closes = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+        first, last, shift = sums[opens], sums[closes], down[opens]
+        if p:
+            scale = U64(pow(_ODD, p, 1 << 64))
+            first, last = first * scale + total, last * scale + total
+            shift = shift * U64(pow(_ODD_INVERSE, p, 1 << 64))
         starts.append(opens + p)
         ends.append(closes + p)
-        first_sums.append(sums[opens])
-        last_sums.append(sums[closes])
-        shifts.append(down[opens] * U64(pow(_ODD_INVERSE, p, 1 << 64)))
-        before, total = bool(inside[n - 1]), sums[n]
+        first_sums.append(first)
+        last_sums.append(last)
+        shifts.append(shift)
+        before, total = bool(inside[n - 1]), U64((int(sums[n]) * pow(_ODD, p, 1 << 64) + int(total)) % (1 << 64))
     if not starts:
         none = np.zeros(0, np.int64)
         return Words(part, none, none, np.zeros(0, U64), np.zeros(len(offsets), np.int64), alphabet.value)
