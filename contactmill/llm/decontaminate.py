@@ -65,14 +65,14 @@ class Tables:
     end: np.ndarray
     tables: list[Table]
 
-    def same(self, first: int, w: K.Words, at: int, size: int) -> bool:
-        """Whether `size` words of the items from `first` on are those of w from `at` on."""
+    def same(self, first: int, w: K.Words, lower: np.ndarray, at: int, size: int) -> bool:
+        """Whether `size` words of the items from `first` on are those of w (in lower case) from `at` on."""
         a, b = self.start[first : first + size], w.start[at : at + size]
         lengths = self.end[first : first + size] - a
         if (lengths != w.end[at : at + size] - b).any():
             return False
         return all(
-            self.buf[x : x + n].tobytes() == _lower(w.buf[y : y + n]).tobytes()
+            self.buf[x : x + n].tobytes() == lower[y : y + n].tobytes()
             for x, y, n in zip(a.tolist(), b.tolist(), lengths.tolist())
         )
 
@@ -152,6 +152,9 @@ def search(known: Tables, table: Table, w: K.Words) -> list[tuple[int, int]]:
     first = np.sort(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
     doc = np.searchsorted(w.offsets, first, side="right") - 1
     first = first[first + m <= w.offsets[doc + 1]]  # not across two texts
+    if not len(first):
+        return []
+    lower = _lower(w.buf)
     ends, whole = blocks[first + m - 1], _whole(w.hash, first, m)
     lo, hi = np.searchsorted(table.suffix, ends), np.searchsorted(table.suffix, ends, side="right")
     out = []
@@ -159,7 +162,7 @@ def search(known: Tables, table: Table, w: K.Words) -> list[tuple[int, int]]:
         # the patterns of a bucket are in order of their hashes
         entry = a + int(np.searchsorted(table.whole[a:b], h))
         while entry < b and table.whole[entry] == h:
-            if known.same(int(table.first[entry]), w, at, m):
+            if known.same(int(table.first[entry]), w, lower, at, m):
                 out.append((at, entry))
             entry += 1
     return out
