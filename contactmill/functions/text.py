@@ -195,7 +195,8 @@ def _syllable(char: Column) -> Column:
 def letters(text: Column) -> Column:
     """Base letters, those of the text in lower case, without accents; all else goes."""
     single, base, several = _base_letters()
-    spelled = F.map_from_arrays(F.lit(list(several)), F.lit(list(several.values())))
+    # one literal, that the optimiser makes a map of: neither side is ever a comma or a colon
+    spelled = F.str_to_map(F.lit(",".join(f"{a}:{b}" for a, b in several.items())), F.lit(","), F.lit(":"))
     rare, korean = _char_class(several), f"[{chr(_HANGUL[0])}-{chr(_HANGUL[1] - 1)}]"
 
     def plain(value: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from contactmill.config import Config
 from contactmill.operators import integrity, merge, rules
 from contactmill.operators.components import connected_components
+from contactmill.session import materialise
 from contactmill.sources.csv import KINDS
 
 CONFIG = Config(
@@ -128,6 +129,7 @@ def tables(spark):
         record(1, emails=["a@example.com"], phones=["+4915100000001"]), record(2, "Ben", ["a@example.com"]),
         record(3, "Kim", ["kim@example.org"]), record(4, "Ida", ["i@example.com"], ["+4915100000004"], created="2024-01-01"),
     ])
+    rows, _ = materialise(rows)
     clean = merge.clean_rows(merge.merge_contacts(merge.with_components(rows.where(F.size("reasons") == 0))))
     return rows, clean, merge.excluded_rows(rows.where(F.size("reasons") > 0))
 
